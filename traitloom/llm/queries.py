@@ -1,8 +1,16 @@
 """Queries of the training-data operators, and the SQL of those that SQL expresses."""
 
 from .decontaminate import op5_decontaminate
+from .langid import op1_langid
+from .licenses import op10_licenses
 from .mixing import OP3_SQL, op3_mixing
+from .secrets import op7_secrets
+from .simhash import op2_simhash
+from .tiff import op9_tiff
 from .tokenfiles import op8_token_files
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op5_decontaminate, op8_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_langid, op2_simhash, op3_mixing, op5_decontaminate, op7_secrets, op8_token_files, op9_tiff, op10_licenses)
+}
 SQL = {"op3_mixing": OP3_SQL}
