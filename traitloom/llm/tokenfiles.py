@@ -28,7 +28,9 @@ END_ID, LEVEL = 1, 3
 #: Rows of documents in a file, about; files hold ranges of doc_id.
 FILE_ROWS = 8_192
 #: Entries of a worker's cache from words to ids; it is emptied when full, which only costs time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+#: Texts that a task holds split into words at once.
+STEP = 128
 
 
 class Encoder:
@@ -41,6 +43,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer, self.cache = Tokenizer.from_file(path), {}
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
@@ -136,12 +139,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         end = np.array([end_id], encode.width).tobytes()
-        for batch in batches:
-            ids = [x + end for x in encode(batch.column(1).to_pylist())]
-            yield pa.record_batch(
-                [batch.column(0), pa.array([frame(x) for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
-                ["doc_id", "frame", "size", "crc"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, STEP):
+                batch = whole.slice(at, STEP)
+                ids = [x + end for x in encode(batch.column(1).to_pylist())]
+                yield pa.record_batch(
+                    [batch.column(0), pa.array([frame(x) for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
+                    ["doc_id", "frame", "size", "crc"],
+                )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, out, number, tokens = np.dtype(encoder(tokenizer).width).itemsize, None, None, 0
