@@ -3,7 +3,9 @@
 from .decontaminate import op5_decontaminate
 from .langid import op1_langid
 from .licenses import op10_licenses
+from .lines import op4_lines
 from .mixing import OP3_SQL, op3_mixing
+from .repeats import op6_repeats
 from .secrets import op7_secrets
 from .simhash import op2_simhash
 from .tiff import op9_tiff
@@ -11,6 +13,8 @@ from .tokenfiles import op8_token_files
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_langid, op2_simhash, op3_mixing, op5_decontaminate, op7_secrets, op8_token_files, op9_tiff, op10_licenses)
+    for f in (
+        op1_langid, op2_simhash, op3_mixing, op4_lines, op5_decontaminate, op6_repeats, op7_secrets, op8_token_files, op9_tiff, op10_licenses,
+    )
 }
 SQL = {"op3_mixing": OP3_SQL}
