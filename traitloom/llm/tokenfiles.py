@@ -27,8 +27,8 @@ DIRECTORY, SEEK_TABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 END_ID, LEVEL = 1, 3
 #: Rows of documents in a file, about; files hold ranges of doc_id.
 FILE_ROWS = 8_192
-#: Entries of a worker's cache from words to ids; it is emptied when full, which only costs time.
-CACHE_WORDS = 250_000
+#: Entries of a worker's cache from words to ids; once full it is kept as the older of two, which only costs time.
+CACHE_WORDS = 600_000
 #: Texts that a task holds split into words at once.
 STEP = 128
 
@@ -37,26 +37,47 @@ class Encoder:
     """encode() of a tokenizers file that drops white space, one white-space-free piece at a time.
 
     Normalising, splitting and merging of such a tokenizer never cross white space, so the ids of a text are
-    those of its pieces in turn; pieces recur, so most come from the cache.
+    those of its pieces in turn; pieces recur, so most come from the cache. Pieces that are new are encoded together,
+    a special token between them telling their ids apart.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.tokenizer, self.cache, self.old = Tokenizer.from_file(path), {}, {}
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.mark_id, self.mark = max(marks) if marks else (None, None)
+
+    def _new(self, pieces: list[str]) -> None:
+        if self.mark is None:
+            plain, other = [], pieces
+        else:
+            plain, other = [p for p in pieces if "<" not in p], [p for p in pieces if "<" in p]
+        for at in range(0, len(plain), 1_000):
+            some = plain[at : at + 1_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, self.width)
+            cuts = np.concatenate([[-1], np.flatnonzero(ids == self.mark_id), [len(ids)]])
+            if len(cuts) != len(some) + 1:
+                other += some
+                continue
+            size, data, cuts = ids.itemsize, ids.tobytes(), cuts.tolist()
+            self.cache.update({p: data[(b + 1) * size : e * size] for p, b, e in zip(some, cuts, cuts[1:], strict=False)})
+        for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.cache[p] = np.array(e.ids, self.width).tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]  # other white space stays inside pieces
         if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
-        new = list({w for words in split for w in words if w not in self.cache})
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.cache[w] = np.array(e.ids, self.width).tobytes()
+            self.cache, self.old = {}, self.cache
+        missing = {p for pieces in split for p in pieces if p not in self.cache}
+        known = [p for p in missing if p in self.old]
+        self.cache.update({p: self.old[p] for p in known})
+        self._new(list(missing.difference(known)))
         get = self.cache.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [b"".join(map(get, pieces)) for pieces in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
