@@ -309,7 +309,7 @@ query("J14_nearest_tss", sql_of(
     QUALIFY row_number() OVER (PARTITION BY site_key ORDER BY abs(tss - p.start_pos), tss, g.gene_id) = 1) t USING (site_key)""", "spots", "tss"))(
     lambda d: I.nearest_point(d.spots, I.annotation_tss(d.genes), "tss", "gene_id", ["gene_id", "gene_name", "strand"]).select("site_key", "nearest_distance", "gene_id", "gene_name", "strand")
 )
-NEAR_ISLAND = "SELECT s.site_key, min(greatest(i.start_pos - s.end_pos, s.start_pos - i.end_pos, 0)) AS nearest_distance FROM spots s LEFT JOIN islands i ON i.chrom = s.chrom GROUP BY 1"
+NEAR_ISLAND = "SELECT s.site_key, min(CASE WHEN i.start_pos IS NOT NULL THEN greatest(i.start_pos - s.end_pos, s.start_pos - i.end_pos, 0) END) AS nearest_distance FROM spots s LEFT JOIN islands i ON i.chrom = s.chrom GROUP BY 1"
 query("J15_nearest_island", sql_of(NEAR_ISLAND, "spots", "islands"))(lambda d: I.nearest_interval(d.spots, d.islands, "name").select("site_key", "nearest_distance"))
 query("J16_shore_shelf", sql_of(f"SELECT site_key, coalesce(nearest_distance <= 2000, false) AS near_shore, coalesce(nearest_distance <= 4000, false) AS near_shelf FROM ({NEAR_ISLAND})", "spots", "islands"))(
     lambda d: I.nearest_interval(d.spots, d.islands, "name").select("site_key", F.coalesce(F.col("nearest_distance") <= 2000, F.lit(False)).alias("near_shore"), F.coalesce(F.col("nearest_distance") <= 4000, F.lit(False)).alias("near_shelf"))
