@@ -37,8 +37,7 @@ class Encoder:
     """encode() of a tokenizers file that drops white space, one white-space-free piece at a time.
 
     Normalising, splitting and merging of such a tokenizer never cross white space, so the ids of a text are
-    those of its pieces in turn; pieces recur, so most come from the cache. Pieces that are new are encoded together,
-    a special token between them telling their ids apart.
+    those of its pieces in turn; pieces recur, so most come from the cache.
     """
 
     def __init__(self, path: str):
@@ -47,26 +46,46 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer, self.cache, self.old = Tokenizer.from_file(path), {}, {}
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
-        self.mark_id, self.mark = max(marks) if marks else (None, None)
-
-    def _new(self, pieces: list[str]) -> None:
-        if self.mark is None:
-            plain, other = [], pieces
-        else:
-            plain, other = [p for p in pieces if "<" not in p], [p for p in pieces if "<" in p]
-        for at in range(0, len(plain), 1_000):
-            some = plain[at : at + 1_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, self.width)
-            cuts = np.concatenate([[-1], np.flatnonzero(ids == self.mark_id), [len(ids)]])
-            if len(cuts) != len(some) + 1:
-                other += some
+        # Where the vocabulary marks the ends of words, the ids of a run of words fall apart at the marks.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+
+    def _words(self, words: list[str]) -> None:
+        """Words of letters alone, many at a time; those whose marks do not tell them apart one by one."""
+        rest = []
+        for at in range(0, len(words), 1_000):
+            some = words[at : at + 1_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):
+                rest += some
                 continue
-            size, data, cuts = ids.itemsize, ids.tobytes(), cuts.tolist()
-            self.cache.update({p: data[(b + 1) * size : e * size] for p, b, e in zip(some, cuts, cuts[1:], strict=False)})
-        for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            data, cuts = ids.astype(self.width).tobytes(), (cuts * np.dtype(self.width).itemsize).tolist()
+            self.cache.update({w: data[b:e] for w, b, e in zip(some, [0, *cuts], cuts, strict=False)})
+        self._pieces(rest)
+
+    def _pieces(self, pieces: list[str]) -> None:
+        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
             self.cache[p] = np.array(e.ids, self.width).tobytes()
 
+    def _new(self, pieces: list[str]) -> None:
+        """Letters and the stops after them are split from each other by any tokenizer of words, so both are looked up alone."""
+        parts, other = [], []
+        for p in pieces:
+            word = p.rstrip(".,")
+            if word.isalpha():
+                parts.append((p, word.lower() if word.isascii() else word, p[len(word) :]))
+            else:
+                other.append(p)
+        wanted = {w for _, w, _ in parts if w not in self.cache}
+        known = [w for w in wanted if w in self.old]
+        self.cache.update({w: self.old[w] for w in known})
+        self._words(list(wanted.difference(known)))
+        self._pieces([*{t for _, _, t in parts if t not in self.cache}, *other])
+        self.cache.update({p: self.cache[w] + self.cache[t] for p, w, t in parts})
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]  # other white space stays inside pieces
