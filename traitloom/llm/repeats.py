@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ LEFT = SPAN - 1  # bytes left of an anchor at most
 WIDTH = LEFT + LENGTH  # bytes of a stretch's context
 #: Bytes that a task hashes at once; longer texts are read in overlapping pieces.
 PIECE = 1 << 20
+#: Stretches among which a task tells repeats before anything is shuffled.
+SEEN = 1 << 20
 #: Classes of one gram that a task holds; beyond it their windows are dealt out one by one.
 CLASSES = 20_000
 NO_ID = (1 << 63) - 1
@@ -102,15 +105,25 @@ def prepared(docs: DataFrame) -> DataFrame:
 
 
 def find_stretches(rows: DataFrame) -> DataFrame:
-    """gram, bytes hash, id and packed place of each stretch of prepared() rows."""
+    """gram, bytes hash, id and packed place of each stretch of prepared() rows; gram is null for a stretch whose bytes the same
+    task has already seen at an earlier place, which no later step needs to compare."""
+
+    def first_of_class(found: list[tuple]) -> pa.RecordBatch:
+        gram, whole, ids, packed = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((packed, ids, whole, gram))
+        gram, whole, ids, packed = gram[order], whole[order], ids[order], packed[order]
+        new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (whole[1:] != whole[:-1])])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        again = (ids != ids[start]) | (packed != packed[start])
+        return pa.record_batch([pa.array(gram, pa.int64(), mask=again), pa.array(whole, pa.int32()), pa.array(ids, pa.int64()), pa.array(packed, pa.int64())], ["gram", "whole", "id", "packed"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush():
+        def hashed():
             text, gram, whole, first, before, more = stretches(pieces)
             owner, base = np.array(owners, np.int64), np.array(bases, np.int64)
-            packed = _pack(base[text] + first, np.array(numbers, np.int64)[text], before, more)
-            return pa.record_batch([pa.array(gram, pa.int64()), pa.array(whole, pa.int32()), pa.array(owner[text], pa.int64()), pa.array(packed, pa.int64())], ["gram", "whole", "id", "packed"])
+            return gram, whole, owner[text], _pack(base[text] + first, np.array(numbers, np.int64)[text], before, more)
 
+        found, count = [], 0
         pieces, owners, numbers, bases, held = [], [], [], [], 0
         for batch in batches:
             for i, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -120,27 +133,37 @@ def find_stretches(rows: DataFrame) -> DataFrame:
                     if len(piece) < LENGTH:
                         continue
                     if held + len(piece) > PIECE * 2:
-                        yield flush()
+                        found.append(hashed())
+                        count += len(found[-1][0])
                         pieces, owners, numbers, bases, held = [], [], [], [], 0
+                        if count >= SEEN:
+                            yield first_of_class(found)
+                            found, count = [], 0
                     pieces.append(piece)
                     owners.append(i)
                     numbers.append(n)
                     bases.append(at)
                     held += len(piece)
         if pieces:
-            yield flush()
+            found.append(hashed())
+        if found:
+            yield first_of_class(found)
 
     return rows.select("id", "number", "data").mapInArrow(read, "gram long, whole int, id long, packed long")
 
 
 def find_classes(sorted_rows: DataFrame) -> DataFrame:
-    """Of rows sorted by (gram, whole, id, packed): those that repeat the first of their class (gram null), and the first of
+    """Of rows sorted by (gram, whole, id, packed): those of null gram and those that repeat the first of their class (gram null), and the first of
     each class of a gram that has several (gram kept). A task streams its rows and keeps one."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram_now = whole_now = None
         first_now, pending, many = (0, 0), None, False
-        for batch in batches:
+        for mixed in batches:
+            known = mixed.column(0).is_null()
+            if len(seen := mixed.filter(known)):
+                yield pa.record_batch([seen.column(2), seen.column(3), seen.column(0)], ["id", "packed", "gram"])
+            batch = mixed.filter(pc.invert(known))
             if not batch.num_rows:
                 continue
             gram, whole, ids, packed = (batch.column(i).to_numpy() for i in range(4))
@@ -328,7 +351,8 @@ def find_repeats(sorted_rows: DataFrame, classes: int = CLASSES) -> DataFrame:
 def repeated_spans(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     """id, number, start, end: bytes of prepared() rows that windows cover which also start earlier; they may overlap."""
     keys = ["gram", "whole", "id", "packed"]
-    found = common.stash(find_classes(find_stretches(rows).repartition("gram").sortWithinPartitions(*keys)), "repeat-classes")
+    dealt = find_stretches(rows).repartition(F.coalesce("gram", F.xxhash64("id", "packed")))
+    found = common.stash(find_classes(dealt.sortWithinPartitions(*keys)), "repeat-classes")
     first, number = F.shiftright("packed", 32), F.shiftright("packed", 14).bitwiseAND(0x3FFFF)
     whole = found.where("gram is null").select("id", number.alias("number"), first.alias("start"), (first + F.col("packed").bitwiseAND(127) + LENGTH).alias("end"))
     places = F.collect_list(F.struct("gram", "packed")).alias("places")
