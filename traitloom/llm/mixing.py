@@ -11,7 +11,7 @@ from . import common
 
 WEIGHTS, MAX_REPEAT, SEED = (5, 2, 1), 3, 20240601
 #: Rows of one size and source that one task ranks; more are dealt over further buckets.
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 16_384
 
 
 def offset(seed: int = SEED) -> float:
