@@ -67,7 +67,8 @@ def nearest_point(sites: DataFrame, points: DataFrame, pos: str, ident: str, kee
     rows = sites.select("chrom", F.col("start_pos").alias("at"), F.lit(None).cast(marks.schema["point"].dataType).alias("point"), "site_key").unionByName(marks)
     along = Window.partitionBy("chrom").orderBy("at")
     before = F.last("point", ignorenulls=True).over(along.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.first("point", ignorenulls=True).over(along.rangeBetween(0, Window.unboundedFollowing))
+    back = Window.partitionBy("chrom").orderBy(F.desc("at"))  # a frame that only grows, unlike one up to the end
+    after = F.last("point", ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     found = rows.select("site_key", "at", before.alias("b"), after.alias("a")).where("site_key is not null")
     left, right = F.col("at") - F.col("b.pos"), F.col("a.pos") - F.col("at")
     pick = F.when(F.col("a").isNull() | (left <= right), F.struct(left.alias("distance"), F.col("b.p").alias("p"))).otherwise(F.struct(right.alias("distance"), F.col("a.p").alias("p")))
@@ -84,7 +85,8 @@ def nearest_interval(sites: DataFrame, features: DataFrame, ident: str) -> DataF
     marks = marks.select("chrom", "at", F.struct("at", "f.end", "f.id").alias("f"), F.lit(None).cast("string").alias("site_key"), F.lit(None).cast("long").alias("site_end"))
     rows = sites.select("chrom", F.col("start_pos").alias("at"), F.lit(None).cast(marks.schema["f"].dataType).alias("f"), "site_key", F.col("end_pos").alias("site_end")).unionByName(marks)
     along = Window.partitionBy("chrom").orderBy("at")
-    after = F.first("f", ignorenulls=True).over(along.rangeBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy("chrom").orderBy(F.desc("at"))  # a frame that only grows, unlike one up to the end
+    after = F.last("f", ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     known = F.when(F.col("f").isNotNull(), F.struct(F.col("f.end").alias("end"), F.col("f.id").alias("id")))
     before = F.max(known).over(along.rangeBetween(Window.unboundedPreceding, 0))
     found = rows.select("site_key", "at", "site_end", before.alias("b"), after.alias("a")).where("site_key is not null")
