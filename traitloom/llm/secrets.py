@@ -73,7 +73,8 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """
     role, base = by_kind(lambda k: F.lit(KINDS[k][3])), by_kind(lambda k: F.lit(KINDS[k][4]))
     sweep = Window.partitionBy("row").orderBy("start", "end", "kind")
-    before, after = sweep.rowsBetween(Window.unboundedPreceding, -1), sweep.rowsBetween(1, Window.unboundedFollowing)
+    back = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))  # frames that only grow
+    before, after = sweep.rowsBetween(Window.unboundedPreceding, -1), back.rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
 
     def near(wanted: str) -> Column:
