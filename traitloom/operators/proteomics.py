@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Names of control samples, and the two proteins that are left out.
 CONTROLS = "CONTROL_SAMPLE|Control|CONT"
+LEFT_OUT = ("P32455", "Q02750")
 
 
 def assays_only(npx: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def first_plates(npx: DataFrame) -> DataFrame:
     return npx.select("SampleID", "PlateID").distinct().withColumn("n", F.row_number().over(order)).where("n = 1").drop("n")
 
 
-def normalize(npx: DataFrame, plate: str, excluded: tuple[str, ...] = ("P32455", "Q02750")) -> DataFrame:
+def normalize(npx: DataFrame, plate: str, excluded: tuple[str, ...] = LEFT_OUT) -> DataFrame:
     """From raw NPX to QC-filtered normalised rows, one plate a sample, without samples that lack a value."""
     rows = normalize_plates(assays_only(npx), plate)
     rows = rows.join(removed_samples(rows), "SampleID", "left_anti").join(failed_assays(rows), "Assay", "left_anti")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import inverse_normal_sql
+from ..functions.stats import finite, inverse_normal_sql
 from ..operators import calls as C
 from ..operators import clusters as K
 from ..operators import cohort as H
@@ -106,6 +106,30 @@ def _genotype_pcs(d: Data) -> DataFrame:
     return L.pcs_frame(features, scores, names, 3)
 
 
+def _checked_columns(d: Data) -> DataFrame:
+    names = ["sample_id", "chrom", "begin_pos", "cov"]
+    Q.require_columns(d.calls, names)
+    return d.calls.select(names)
+
+
+def _same_schemas(d: Data) -> DataFrame:
+    parts = [d.calls.where("sample_id < 'S05'"), d.calls.where("sample_id >= 'S05'")]
+    Q.require_same_schema(parts)
+    return parts[0].unionByName(parts[1]).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _safe(x: str) -> list:
+    """Statistics of finite values only: the deviation needs two, the variation a mean other than zero."""
+    v = finite(F.col(x))
+    mean, sd = F.avg(v), F.stddev_samp(v)
+    return [mean.alias("mean"), sd.alias("sd"), F.try_divide(sd, F.when(mean != 0, mean)).alias("cv"), F.median(v).alias("median"), F.min(v).alias("low"), F.max(v).alias("high")]
+
+
+query("Q01_required_columns", sql_of("SELECT sample_id, chrom, begin_pos, cov FROM calls", "calls"))(_checked_columns)
+query("Q09_same_schema", sql_of("SELECT sample_id, count(*) AS n FROM calls GROUP BY 1", "calls"))(_same_schemas)
+query("A04_safe_statistics", sql_of("SELECT sample_id, avg(v) AS mean, stddev_samp(v) AS sd, stddev_samp(v) / nullif(avg(v), 0) AS cv, median(v) AS median, min(v) AS low, max(v) AS high FROM (SELECT sample_id, CASE WHEN cov <= 40 THEN mod_score END AS v FROM calls) GROUP BY 1", "calls", doubles=("mean", "sd", "cv", "median", "low", "high")))(
+    lambda d: d.calls.withColumn("v", F.when(F.col("cov") > 45, float("inf")).when(F.col("cov") > 40, float("nan")).otherwise(F.col("mod_score"))).groupBy("sample_id").agg(*_safe("v"))
+)
 query("P15_choose_id_column", sql_of("SELECT 'ResearchID' AS chosen", "npx"))(
     lambda d: d.spark.createDataFrame([(P.choose_id_column(d.npx.select(F.lit("none").alias("SampleID"), P.strip_suffix(F.col("SampleID")).alias("ResearchID")), d.npx.select(P.strip_suffix(F.col("SampleID")).alias("sample_id")).distinct()),)], "chosen string")
 )
