@@ -27,6 +27,8 @@ DIRECTORY, SEEK_TABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 END_ID, LEVEL = 1, 3
 #: Rows of documents in a file, about; files hold ranges of doc_id.
 FILE_ROWS = 8_192
+#: Files at most; beyond it they grow.
+MOST_FILES = 10_000
 #: Entries of a worker's cache from words to ids; once full it is kept as the older of two, which only costs time.
 CACHE_WORDS = 600_000
 #: Texts that a task holds split into words at once.
@@ -183,10 +185,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             for at in range(0, whole.num_rows, STEP):
                 batch = whole.slice(at, STEP)
                 ids = [x + end for x in encode(batch.column(1).to_pylist())]
+                file_no = np.searchsorted(bounds, batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
                 yield pa.record_batch(
-                    [batch.column(0), pa.array([frame(x) for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
-                    ["doc_id", "frame", "size", "crc"],
-                )
+                    [
+                        batch.column(0), pa.array([frame(x) for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32()),
+                        pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(file_no, pa.int32()),
+                    ],
+                    ["doc_id", "frame", "size", "crc", "file_no"],
+                )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, out, number, tokens = np.dtype(encoder(tokenizer).width).itemsize, None, None, 0
@@ -203,12 +209,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             row = {"file_no": [number], "path": [f"{folder}/{file_name(number)}"], "n_docs": [len(out.ids)], "n_tokens": [tokens]}
             yield pa.RecordBatch.from_pydict(row, pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    files = 1 + docs.count() // file_rows
+    files = min(MOST_FILES, 1 + docs.count() // file_rows)
     bounds = docs.approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files) if files > 1 else []
-    bounds = sorted({int(b) for b in bounds})
-    ranges = F.array(*[F.lit(b) for b in bounds]).cast("array<long>")
-    number = F.size(F.filter(ranges, lambda b: b <= F.coalesce("doc_id", F.lit(-(1 << 63))))).alias("file_no")
-    frames = docs.mapInArrow(compress, "doc_id long, frame binary, size int, crc long").select("*", number)
+    bounds = np.array(sorted({int(b) for b in bounds}), np.int64)
+    frames = docs.mapInArrow(compress, "doc_id long, frame binary, size int, crc long, file_no int")
     placed = frames.repartitionById(len(bounds) + 1, F.col("file_no")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "crc", "frame")
     return common.stash(placed.mapInArrow(write, "file_no int, path string, n_docs long, n_tokens long"), "token-files")
 
