@@ -41,6 +41,17 @@ def test_real(spark, real, benchmark_rows):
     same(decontaminate.op5_decontaminate(spark, SF), want)
 
 
+def test_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    cursor = con.sql(decontaminate.OP5_SQL)
+    df = decontaminate.op5_decontaminate(spark, SF)
+    assert sorted(map(tuple, df.select(*cursor.columns).collect())) == sorted(cursor.fetchall())
+
+
 def test_blocks_agree(spark, real, benchmark_rows):
     """A benchmark too large for one block gives the same rows in several passes."""
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")

@@ -216,3 +216,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{common.UPPER}', '{common.LOWER}'), '{common.ALNUM_WORD}')"
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS words FROM benchmark),
+starts AS (SELECT item, words, least({WINDOW}, len(words)) AS k, unnest(range(1, len(words) - least({WINDOW}, len(words)) + 2)) AS i FROM b WHERE len(words) > 0),
+windows AS (SELECT DISTINCT item, k, array_to_string(words[i : i + k - 1], ' ') AS s FROM starts),
+places AS (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT k FROM windows)),
+hits AS (SELECT doc_id, p, places.k, item FROM places JOIN windows ON places.k = windows.k AND array_to_string(words[p : p + places.k - 1], ' ') = s),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY 1),
+found AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -1,6 +1,6 @@
 """Queries of the training-data operators, and the SQL of those that SQL expresses."""
 
-from .decontaminate import op5_decontaminate
+from .decontaminate import OP5_SQL, op5_decontaminate
 from .langid import op1_langid
 from .licenses import op10_licenses
 from .lines import op4_lines
@@ -17,4 +17,4 @@ QUERIES = {
         op1_langid, op2_simhash, op3_mixing, op4_lines, op5_decontaminate, op6_repeats, op7_secrets, op8_token_files, op9_tiff, op10_licenses,
     )
 }
-SQL = {"op3_mixing": OP3_SQL}
+SQL = {"op3_mixing": OP3_SQL, "op5_decontaminate": OP5_SQL}
