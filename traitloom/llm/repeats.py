@@ -88,40 +88,40 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text, gram[at].view(np.int64), (whole >> np.uint64(32)).astype(np.uint32).view(np.int32), first - (ends - lengths)[text], at - first, last - first
 
 
-def _pack(first, number, before, more):
-    """One long: first window, 18 bits of the text's hash, bytes from it to the anchor, windows less one."""
-    return first << 32 | number << 14 | before << 7 | more
+def _pack(first, before, more):
+    """One long: first window, bytes from it to the anchor, windows less one."""
+    return first << 14 | before << 7 | more
 
 
 def _unpack(packed: np.ndarray) -> tuple[np.ndarray, ...]:
-    return packed >> 32, packed >> 14 & 0x3FFFF, packed >> 7 & 127, packed & 127
+    return packed >> 14, packed >> 7 & 127, packed & 127
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """id (null doc_ids last), number (18 bits of the text's hash, for repeated ids), doc_id, bytes of the text."""
+    """id (null doc_ids last), number (64-bit hash of the text, for repeated ids), doc_id, bytes of the text."""
     data = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
-    number = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(0x3FFFF)
+    number = F.xxhash64(F.coalesce("text", F.lit("")))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), number.alias("number"), "doc_id", data.alias("data"))
 
 
 def find_stretches(rows: DataFrame) -> DataFrame:
-    """gram, bytes hash, id and packed place of each stretch of prepared() rows; gram is null for a stretch whose bytes the same
+    """gram, bytes hash, id, number and packed place of each stretch of prepared() rows; gram is null for a stretch whose bytes the same
     task has already seen at an earlier place, which no later step needs to compare."""
 
     def first_of_class(found: list[tuple]) -> pa.RecordBatch:
-        gram, whole, ids, packed = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((packed, ids, whole, gram))
-        gram, whole, ids, packed = gram[order], whole[order], ids[order], packed[order]
+        gram, whole, ids, number, packed = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((packed, number, ids, whole, gram))
+        gram, whole, ids, number, packed = (x[order] for x in (gram, whole, ids, number, packed))
         new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (whole[1:] != whole[:-1])])
         start = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        again = (ids != ids[start]) | (packed != packed[start])
-        return pa.record_batch([pa.array(gram, pa.int64(), mask=again), pa.array(whole, pa.int32()), pa.array(ids, pa.int64()), pa.array(packed, pa.int64())], ["gram", "whole", "id", "packed"])
+        again = (ids != ids[start]) | (number != number[start]) | (packed != packed[start])
+        return pa.record_batch([pa.array(gram, pa.int64(), mask=again), pa.array(whole, pa.int32()), pa.array(ids, pa.int64()), pa.array(number, pa.int64()), pa.array(packed, pa.int64())], ["gram", "whole", "id", "number", "packed"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def hashed():
             text, gram, whole, first, before, more = stretches(pieces)
-            owner, base = np.array(owners, np.int64), np.array(bases, np.int64)
-            return gram, whole, owner[text], _pack(base[text] + first, np.array(numbers, np.int64)[text], before, more)
+            owner, number, base = (np.array(x, np.int64) for x in (owners, numbers, bases))
+            return gram, whole, owner[text], number[text], _pack(base[text] + first, before, more)
 
         found, count = [], 0
         pieces, owners, numbers, bases, held = [], [], [], [], 0
@@ -149,37 +149,38 @@ def find_stretches(rows: DataFrame) -> DataFrame:
         if found:
             yield first_of_class(found)
 
-    return rows.select("id", "number", "data").mapInArrow(read, "gram long, whole int, id long, packed long")
+    return rows.select("id", "number", "data").mapInArrow(read, "gram long, whole int, id long, number long, packed long")
 
 
 def find_classes(sorted_rows: DataFrame) -> DataFrame:
-    """Of rows sorted by (gram, whole, id, packed): those of null gram and those that repeat the first of their class (gram null), and the first of
+    """Of rows sorted by (gram, whole, id, number, packed): those of null gram and those that repeat the first of their class (gram null), and the first of
     each class of a gram that has several (gram kept). A task streams its rows and keeps one."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram_now = whole_now = None
-        first_now, pending, many = (0, 0), None, False
+        first_now, pending, many = (0, 0, 0), None, False
         for mixed in batches:
             known = mixed.column(0).is_null()
             if len(seen := mixed.filter(known)):
-                yield pa.record_batch([seen.column(2), seen.column(3), seen.column(0)], ["id", "packed", "gram"])
+                yield pa.record_batch([seen.column(2), seen.column(3), seen.column(4), seen.column(0)], ["id", "number", "packed", "gram"])
             batch = mixed.filter(pc.invert(known))
             if not batch.num_rows:
                 continue
-            gram, whole, ids, packed = (batch.column(i).to_numpy() for i in range(4))
+            gram, whole, ids, number, packed = (batch.column(i).to_numpy() for i in range(5))
             new_gram = np.concatenate([[gram_now is None or gram[0] != gram_now], gram[1:] != gram[:-1]])
             new = new_gram | np.concatenate([[whole_now is None or whole[0] != whole_now], whole[1:] != whole[:-1]])
             start = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
             first_id = np.where(start < 0, first_now[0], ids[start])
-            first_packed = np.where(start < 0, first_now[1], packed[start])
-            again = ~new & ((ids != first_id) | (packed != first_packed))
+            first_number = np.where(start < 0, first_now[1], number[start])
+            first_packed = np.where(start < 0, first_now[2], packed[start])
+            again = ~new & ((ids != first_id) | (number != first_number) | (packed != first_packed))
             starts = np.flatnonzero(new)
             run = np.cumsum(new_gram[starts])  # 0: goes on from the batch before
             runs = int(np.cumsum(new_gram)[-1])
             count = np.bincount(run, minlength=runs + 1)
             count[0] += 0 if gram_now is None or new_gram[0] else (2 if many else 1)
             told = starts[count[run] > 1]
-            out = [(ids[again], packed[again], None), (ids[told], packed[told], gram[told])]
+            out = [(ids[again], number[again], packed[again], None), (ids[told], number[told], packed[told], gram[told])]
             if pending is not None and count[0] > 1:
                 out.append(tuple(np.array([x]) for x in (*pending, gram_now)))
                 pending = None
@@ -187,35 +188,36 @@ def find_classes(sorted_rows: DataFrame) -> DataFrame:
                 pending = None
             many = bool(count[runs] > 1)
             if not many and (mine := starts[run == runs]).size:
-                pending = (ids[mine[0]], packed[mine[0]])
-            gram_now, whole_now, first_now = gram[-1], whole[-1], (first_id[-1], first_packed[-1])
-            for i, p, g in out:
+                pending = (ids[mine[0]], number[mine[0]], packed[mine[0]])
+            gram_now, whole_now, first_now = gram[-1], whole[-1], (first_id[-1], first_number[-1], first_packed[-1])
+            for i, t, p, g in out:
                 if len(i):
-                    yield pa.record_batch([pa.array(i, pa.int64()), pa.array(p, pa.int64()), pa.nulls(len(i), pa.int64()) if g is None else pa.array(g, pa.int64())], ["id", "packed", "gram"])
+                    yield pa.record_batch([pa.array(i, pa.int64()), pa.array(t, pa.int64()), pa.array(p, pa.int64()), pa.nulls(len(i), pa.int64()) if g is None else pa.array(g, pa.int64())], ["id", "number", "packed", "gram"])
 
-    return sorted_rows.mapInArrow(read, "id long, packed long, gram long")
+    return sorted_rows.mapInArrow(read, "id long, number long, packed long, gram long")
 
 
 def find_contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """gram, id, packed and the bytes around the anchor of each wanted (id, number, places) of prepared() rows."""
+    """gram, id, number, packed and the bytes around the anchor of each wanted (id, number, places) of prepared() rows."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                grams, ids, packs, contexts = [], [], [], []
-                for i, data, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                grams, ids, numbers, packs, contexts = [], [], [], [], []
+                for i, n, data, places in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                     for p in places:
-                        first, _, before, more = _unpack(p["packed"])
+                        first, before, more = _unpack(p["packed"])
                         piece = data[first : first + more + LENGTH]
                         contexts.append(b"\xff" * (LEFT - before) + piece + b"\xff" * (WIDTH - LEFT + before - len(piece)))
                         grams.append(p["gram"])
                         ids.append(i)
+                        numbers.append(n)
                         packs.append(p["packed"])
-                yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(ids, pa.int64()), pa.array(packs, pa.int64()), pa.array(contexts, pa.binary())], ["gram", "id", "packed", "context"])
+                yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), pa.array(packs, pa.int64()), pa.array(contexts, pa.binary())], ["gram", "id", "number", "packed", "context"])
 
     joined = rows.select("id", "number", "data").join(wanted.hint("shuffle_hash"), ["id", "number"])
-    return joined.select("id", "data", "places").mapInArrow(read, "gram long, id long, packed long, context binary")
+    return joined.select("id", "number", "data", "places").mapInArrow(read, "gram long, id long, number long, packed long, context binary")
 
 
 def intervals(lcp: list[int], n: int) -> Iterator[tuple[int, int, int, int]]:
@@ -264,99 +266,100 @@ def find_repeats(sorted_rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     """Of contexts sorted by gram: id, number, start, end of bytes that repeat (window null), or of grams with more than `classes`
     classes each window by itself (window: its hash)."""
 
-    def pairs(context, ids, packed):
+    def pairs(context, ids, number, packed):
         """Grams with two classes, all at once."""
-        first, _, before, more = _unpack(packed)
+        _, before, more = _unpack(packed)
         a, b = np.arange(0, len(ids), 2), np.arange(1, len(ids), 2)
         same = context[a] == context[b]
         right = same[:, LEFT:]
         right = np.where(right.all(1), LENGTH, right.argmin(1))
         left = same[:, :LEFT][:, ::-1]
         left = np.where(left.all(1), LEFT, left.argmin(1))
-        later = np.where((ids[a] > ids[b]) | ((ids[a] == ids[b]) & (packed[a] > packed[b])), a, b)
+        after = np.where(number[a] == number[b], packed[a] > packed[b], number[a] > number[b])
+        later = np.where(np.where(ids[a] == ids[b], after, ids[a] > ids[b]), a, b)
         low = np.maximum(LENGTH - right, before[later] - more[later])
         high = np.minimum(left, before[later])
-        ok = (low <= high) & ((ids[a] != ids[b]) | (packed[a] != packed[b]))
+        ok = (low <= high) & ((ids[a] != ids[b]) | (number[a] != number[b]) | (packed[a] != packed[b]))
         return later[ok], low[ok], high[ok]
 
-    def rows(ids, packed, low, high, window=None):
-        first, number, before, _ = _unpack(packed)
+    def rows(ids, number, packed, low, high, window=None):
+        first, before, _ = _unpack(packed)
         at = first + before
         columns = [ids, number, at - high, at - low + LENGTH]
         return pa.record_batch([pa.array(np.asarray(c), pa.int64()) for c in columns] + [pa.nulls(len(ids), pa.int64()) if window is None else pa.array(window, pa.int64())], ["id", "number", "start", "end", "window"])
 
-    def several(context, ids, packed):
-        number, low, high = [], [], []
-        _, _, before, more = _unpack(packed)
+    def several(context, ids, number, packed):
+        found, low, high = [], [], []
+        _, before, more = _unpack(packed)
         for least, most, members in repeat_groups(context):
-            first = min(members, key=lambda i: (ids[i], packed[i]))
+            first = min(members, key=lambda i: (ids[i], number[i], packed[i]))
             for i in members:
                 lo, hi = max(least, before[i] - more[i]), min(most, before[i])
-                if lo <= hi and (ids[i], packed[i]) != (ids[first], packed[first]):
-                    number.append(i)
+                if lo <= hi and (ids[i], number[i], packed[i]) != (ids[first], number[first], packed[first]):
+                    found.append(i)
                     low.append(lo)
                     high.append(hi)
-        return np.array(number, np.int64), np.array(low, np.int64), np.array(high, np.int64)
+        return np.array(found, np.int64), np.array(low, np.int64), np.array(high, np.int64)
 
-    def each_window(context, ids, packed):
-        _, _, before, more = _unpack(packed)
+    def each_window(context, ids, number, packed):
+        _, before, more = _unpack(packed)
         for shift in range(SPAN):  # bytes left of the anchor
             has = np.flatnonzero((shift <= before) & (shift >= before - more))
             if len(has):
                 text = np.ascontiguousarray(context[has, LEFT - shift : LEFT - shift + LENGTH])
                 digest = np.array([int.from_bytes(hashlib.blake2b(t.tobytes(), digest_size=8).digest(), "little", signed=True) for t in text])
-                yield rows(ids[has], packed[has], np.full(len(has), shift), np.full(len(has), shift), digest)
+                yield rows(ids[has], number[has], packed[has], np.full(len(has), shift), np.full(len(has), shift), digest)
 
-    def told(context, ids, packed):
-        number, low, high = several(context, ids, packed)
-        if len(number):
-            yield rows(ids[number], packed[number], low, high)
+    def told(context, ids, number, packed):
+        found, low, high = several(context, ids, number, packed)
+        if len(found):
+            yield rows(ids[found], number[found], packed[found], low, high)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, spilling = None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram, ids, packed = (batch.column(i).to_numpy() for i in range(3))
-            context = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, WIDTH)
+            gram, ids, number, packed = (batch.column(i).to_numpy() for i in range(4))
+            context = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, WIDTH)
             if held is not None:
                 spilling = spilling and held[0][0] == gram[0]
-                gram, ids, packed, context = (np.concatenate(x) for x in zip(held, (gram, ids, packed, context), strict=True))
+                gram, ids, number, packed, context = (np.concatenate(x) for x in zip(held, (gram, ids, number, packed, context), strict=True))
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(gram)) + 1, [len(gram)]])
             begin, size = cuts[:-1], np.diff(cuts)
             done = begin[:-1]  # the last gram may go on
             two = done[size[:-1] == 2]
             if len(two):
                 pick = np.stack([two, two + 1], 1).ravel()
-                later, low, high = pairs(context[pick], ids[pick], packed[pick])
+                later, low, high = pairs(context[pick], ids[pick], number[pick], packed[pick])
                 if len(later):
-                    yield rows(ids[pick][later], packed[pick][later], low, high)
+                    yield rows(ids[pick][later], number[pick][later], packed[pick][later], low, high)
             for b, n in zip(done, size[:-1], strict=True):
                 if n > 2 or (spilling and b == 0):
                     part = slice(b, b + n)
                     hot = n > classes or (spilling and b == 0)
-                    yield from (each_window if hot else told)(context[part], ids[part], packed[part])
+                    yield from (each_window if hot else told)(context[part], ids[part], number[part], packed[part])
             if len(done):
                 spilling = False
-            held = tuple(x[begin[-1] :] for x in (gram, ids, packed, context))
+            held = tuple(x[begin[-1] :] for x in (gram, ids, number, packed, context))
             if len(held[0]) > classes or (spilling and len(held[0]) > 1):
-                yield from each_window(*held[3:], *held[1:3])
+                yield from each_window(held[4], *held[1:4])
                 held, spilling = tuple(x[:1] for x in held), True  # one row stays to know the gram; told again, it changes nothing
         if held is not None and len(held[0]) > 1:
-            yield from (each_window if spilling else told)(held[3], held[1], held[2])
+            yield from (each_window if spilling else told)(held[4], *held[1:4])
 
     return sorted_rows.mapInArrow(read, "id long, number long, start long, end long, window long")
 
 
 def repeated_spans(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     """id, number, start, end: bytes of prepared() rows that windows cover which also start earlier; they may overlap."""
-    keys = ["gram", "whole", "id", "packed"]
-    dealt = find_stretches(rows).repartition(F.coalesce("gram", F.xxhash64("id", "packed")))
+    keys = ["gram", "whole", "id", "number", "packed"]
+    dealt = find_stretches(rows).repartition(F.coalesce("gram", F.xxhash64("id", "number", "packed")))
     found = common.stash(find_classes(dealt.sortWithinPartitions(*keys)), "repeat-classes")
-    first, number = F.shiftright("packed", 32), F.shiftright("packed", 14).bitwiseAND(0x3FFFF)
-    whole = found.where("gram is null").select("id", number.alias("number"), first.alias("start"), (first + F.col("packed").bitwiseAND(127) + LENGTH).alias("end"))
+    first = F.shiftright("packed", 14)
+    whole = found.where("gram is null").select("id", "number", first.alias("start"), (first + F.col("packed").bitwiseAND(127) + LENGTH).alias("end"))
     places = F.collect_list(F.struct("gram", "packed")).alias("places")
-    wanted = found.where("gram is not null").groupBy("id", number.alias("number")).agg(places)
+    wanted = found.where("gram is not null").groupBy("id", "number").agg(places)
     told = common.stash(find_repeats(find_contexts(rows, wanted).repartition("gram").sortWithinPartitions("gram"), classes), "repeat-spans")
     parts = told.where("window is null").select("id", "number", "start", "end")
     windows = told.where("window is not null").distinct()
