@@ -20,20 +20,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of least doc_id stays. A doc_id that comes up in several rows is one document;
-    rows of null doc_id stay only as a group without any other."""
-    found = simhash.near_dedup(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "component_id").distinct()
-    named = docs.select(*COLUMNS).join(found.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
-    unnamed = docs.select(*COLUMNS).where("doc_id is null").dropDuplicates(["text"])
-    alone = found.where("doc_id is null").limit(1).select(F.lit(1).alias("__any"))
-    return named.unionByName(unnamed.join(alone, F.lit(True), "left_semi").select(*COLUMNS))
+    """Of each group of near copies one row stays: that of least doc_id (null last), then of least text hash. Rows of one
+    doc_id, or of none, are told apart by a row key that is written before anything is joined."""
+    rows = common.stash(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "corpus-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("hash"), "row")
+    found = simhash.near_dedup(rows.select(order.alias("doc_id"), "text"))
+    kept = found.where(F.col("doc_id.row") == F.col("component_id.row")).select("doc_id.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go. A doc_id that comes up in several rows is one document."""
+    """Rows that hold a passage of the benchmark go, whatever other rows share their doc_id. The search carries each row's columns."""
     items = common.table(spark, sf_dir, "benchmark")
-    hit = decontaminate.decontaminate(docs, items).where("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti").select(*COLUMNS)
+    rows = docs.select(F.struct(*COLUMNS).alias("doc_id"), "text")
+    return decontaminate.decontaminate(rows, items).where(~F.col("contaminated")).select("doc_id.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 from traitloom.llm import langid, mixing
 
-from .conftest import SF
+from .conftest import DOCUMENTS, SF
 from .test_decontaminate import brute as benchmark_hits
 from .test_mixing import water_fill, words
 from .test_simhash import components, fingerprint
@@ -42,3 +42,16 @@ def test_stages_keep_columns_and_odd_rows(spark, odd, empty):
     assert {r.doc_id for r in left} == {4, 5, 6, 7, 8, 9, None} and langid.UNDETERMINED == "und"
     kept = corpus_pipeline.drop_near_copies(spark, odd, SF).collect()
     assert {r.doc_id for r in kept} == {1, 4, 5, 7, 8, 10, None}
+
+
+def test_stages_decide_by_row(spark, benchmark_rows):
+    """Rows of null or repeated doc_id neither take clean rows with them nor escape the dedup."""
+    leak = max((b.text for b in benchmark_rows), key=len)
+    clean = [" ".join(f"{x}{i}" for i in range(60)) for x in ("alder", "birch", "cedar", "elm", "fir")]
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCUMENTS)
+    kept = lambda stage, rows: sorted(((r.doc_id, r.text) for r in stage(spark, frame(rows), SF).collect()), key=str)
+    rows = [(None, clean[0]), (None, leak), (5, clean[1]), (5, leak), (6, clean[2])]
+    assert kept(corpus_pipeline.drop_benchmark_copies, rows) == sorted([r for r in rows if r[1] != leak], key=str)
+    rows = [(1, clean[0]), (None, clean[0].upper()), (None, clean[1]), (None, clean[1].upper()), (None, clean[2]), (2, clean[3]), (2, clean[3]), (3, clean[4]), (3, clean[0])]
+    got = kept(corpus_pipeline.drop_near_copies, rows)
+    assert sorted((i or 0, t.lower()) for i, t in got) == sorted([(1, clean[0]), (0, clean[1]), (0, clean[2]), (2, clean[3]), (3, clean[4])])
