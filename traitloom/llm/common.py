@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +34,11 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/traitloom-{tag}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, computes once."""
     spark = df.sparkSession
     path = new_folder(spark, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -90,8 +89,3 @@ def components(edges: DataFrame, tag: str = "components", max_rounds: int = 60)
     pairs = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pairs.unionByName(roots)
-
-
-def persisted(df: DataFrame) -> DataFrame:
-    """Kept on the executors' disks; rebuilt from lineage if one is lost."""
-    return df.persist(StorageLevel.DISK_ONLY)
