@@ -204,3 +204,30 @@ def test_genotypes(spark):
     assert (r.variant_id, r.alt_alleles, r.called_alleles, r.frequency) == ("chr1:5_A_G", 5, 8, 0.625)
     with pytest.raises(Exception, match="too long"):
         genotype.autosomal(df.withColumn("ref", F.lit("A" * 60))).collect()
+
+
+def test_spearman_of_constant_and_two_value_sites(spark):
+    """A site with one value or one coverage has no correlation; one with two values has."""
+    site = lambda k, xs, ys: [("chr1", 1, 2, k, x, y, True) for x, y in zip(xs, ys, strict=True)]
+    rows = site("flat", [0.5] * 4, [1.0, 2.0, 3.0, 4.0]) + site("even", [0.1, 0.2, 0.3], [2.0] * 3) + site("two", [0.1, 0.1, 0.9, 0.9], [1.0, 2.0, 3.0, 4.0]) + site("few", [0.1, 0.2], [1.0, 2.0])
+    from traitloom.operators import cohort
+
+    frame = spark.createDataFrame(rows, "chrom string, begin_pos long, end_pos long, site_key string, value double, norm_log_cov double, per_sample_qc_pass boolean")
+    rho = {r.site_key: r.coverage_methylation_spearman_rho for r in cohort.coverage_correlation(frame).collect()}
+    assert rho["flat"] is None and rho["even"] is None and rho["few"] is None and abs(rho["two"] - 0.894427191) < 1e-9
+
+
+def test_registry_without_the_corpus_operators(tmp_path):
+    """The rest works once the corpus operators, their tests and the pipeline are deleted, with the pipeline's file or without."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "traitloom", tmp_path / "traitloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 150 and set(e.oracle_sql()) <= set(q) and 'pipeline' not in q and not [n for n in q if n.startswith('op')]"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)

@@ -52,7 +52,9 @@ def coverage_correlation(calls: DataFrame) -> DataFrame:
     pairs = calls.where(F.col("per_sample_qc_pass")).withColumns({"x": finite(F.col("value")), "y": finite(F.col("norm_log_cov"))}).where("x is not null and y is not null")
     ranked = pairs.withColumns({"rx": average_rank("x", *SITE), "ry": average_rank("y", *SITE)})
     enough = (F.count(F.lit(1)) >= 3) & (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
-    return ranked.groupBy(*SITE).agg(F.count(F.lit(1)).alias("n_samples_coverage_methylation_correlation"), F.when(enough, F.corr("rx", "ry")).alias("coverage_methylation_spearman_rho"))
+    # corr() divides by a spread of zero, and aggregates are worked out whatever a condition around them says
+    rho = F.try_divide(F.covar_pop("rx", "ry"), F.stddev_pop("rx") * F.stddev_pop("ry"))
+    return ranked.groupBy(*SITE).agg(F.count(F.lit(1)).alias("n_samples_coverage_methylation_correlation"), F.when(enough, rho).alias("coverage_methylation_spearman_rho"))
 
 
 def flag_sites(metrics: DataFrame, n_samples: int, required: int, min_mad: float = 0.003) -> DataFrame:

@@ -111,18 +111,47 @@ def is_ctcf_only(types: Column) -> Column:
     return F.coalesce(types.rlike("(^|,)CTCF-only(,|$)"), F.lit(False))
 
 
-def annotate(sites: DataFrame, genes: DataFrame, islands: DataFrame, ccres: DataFrame, window: int = 2000) -> DataFrame:
-    """sites (site_key, chrom, start_pos, end_pos) with nearest TSS, promoter and gene-body genes, islands and regulatory elements."""
+#: Sub-features of genes: label, and the types of annotation rows that it takes. Fixed values.
+SUBFEATURES = {
+    "exon": ["exon"], "cds": ["CDS"], "five_prime_utr": ["five_prime_utr", "5UTR"], "three_prime_utr": ["three_prime_utr", "3UTR"], "utr": ["UTR"],
+}
+
+
+def of_types(features: DataFrame, types: list[str]) -> DataFrame:
+    """Rows of an annotation whose type is one of types; none of them is an empty set, not an error."""
+    return features.where(F.col("type").isin(types)).drop("type")
+
+
+def intron_genes(sites: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame:
+    """site_key, n_intron_genes, intron_gene_id and intron_gene_name: genes whose body holds the site and none of whose exons does."""
+    spots = sites.select("site_key", "chrom", "start_pos", "end_pos")
+    body = overlap_join(spots, genes).groupBy("site_key", F.col("f_gene_id").alias("gene")).agg(F.min("f_gene_name").alias("name")).where("gene <> ''")
+    inside = overlap_join(spots, exons).select("site_key", F.col("f_gene_id").alias("gene")).distinct()
+    left = body.join(inside, ["site_key", "gene"], "left_anti")
+    joined = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(F.col(c) != "", F.col(c)))), ";")
+    return left.groupBy("site_key").agg(F.count(F.lit(1)).alias("n_intron_genes"), joined("gene").alias("intron_gene_id"), joined("name").alias("intron_gene_name"))
+
+
+def annotate(sites: DataFrame, genes: DataFrame, islands: DataFrame, ccres: DataFrame, features: DataFrame, window: int = 2000) -> DataFrame:
+    """sites (site_key, chrom, start_pos, end_pos) with nearest TSS, promoter, gene-body and sub-feature genes (features: rows of the
+    annotation with type, chrom, start_pos, end_pos, gene_id, gene_name), both gene contexts, islands and regulatory elements."""
     named = {"gene_id": "gene_id", "gene_name": "gene_name"}
     tss = annotation_tss(genes)
     out = nearest_point(sites, tss, "tss", "gene_id", ["gene_id", "gene_name", "strand"])
     out = out.withColumnsRenamed({"nearest_distance": "nearest_tss_distance", "gene_id": "nearest_tss_gene_id", "gene_name": "nearest_tss_gene_name", "strand": "nearest_tss_strand"})
-    for label, features in (("promoter", promoters(genes, window)), ("gene_body", genes)):
-        out = overlap_summary(out, features, f"{label}_genes", {c: f"{label}_{n}" for c, n in named.items()})
+    parts = {label: of_types(features, types) for label, types in SUBFEATURES.items()}
+    for label, rows in {"promoter": promoters(genes, window), "gene_body": genes, **parts}.items():
+        out = overlap_summary(out, rows, f"{label}_genes", {c: f"{label}_{n}" for c, n in named.items()})
         out = out.withColumn(f"in_{label}", F.col(f"n_{label}_genes") > 0)
-    out = overlap_summary(out, islands, "overlapping_cpg_islands", {"name": "cpg_island_name"})
+    out = out.join(intron_genes(sites, genes, parts["exon"]), "site_key", "left").fillna(0, ["n_intron_genes"]).withColumn("in_intron", F.col("n_intron_genes") > 0)
+    out = overlap_summary(out, islands, "overlapping_cpg_islands", {"name": "cpg_island_name"}).withColumn("in_cpg_island", F.col("n_overlapping_cpg_islands") > 0)
     near = nearest_interval(sites, islands, "name").select("site_key", F.col("nearest_distance").alias("nearest_cpg_island_distance"), F.col("nearest_id").alias("nearest_cpg_island_name"))
     out = out.join(near, "site_key", "left").withColumn("cpg_island_context", island_context(F.col("nearest_cpg_island_distance")))
-    out = overlap_summary(out, ccres, "overlapping_ccres", {"ccre_v4_id": "ccre_v4_id", "ccre_type": "ccre_type"})
-    context = F.when(F.col("in_promoter"), "promoter").when(F.col("in_gene_body"), "gene_body_unclassified").otherwise("intergenic")
-    return out.withColumns({"genomic_context": context, "in_ccre": F.col("n_overlapping_ccres") > 0, "is_enhancer_like": is_enhancer_like(F.col("ccre_type")), "is_ctcf_only": is_ctcf_only(F.col("ccre_type"))})
+    out = overlap_summary(out, ccres, "overlapping_ccres", {"ccre_v4_id": "ccre_v4_id", "ccre_v5_id": "ccre_v5_id", "ccre_type": "ccre_type"})
+    coarse = F.when(F.col("in_promoter"), "promoter").when(F.col("in_gene_body"), "gene_body").otherwise("intergenic")
+    fine = (
+        F.when(F.col("in_promoter"), "promoter").when(F.col("in_exon"), "exon").when(F.col("in_intron"), "intron")
+        .when(F.col("in_gene_body"), "gene_body_unclassified").otherwise("intergenic")
+    )
+    elements = {"in_ccre": F.col("n_overlapping_ccres") > 0, "is_enhancer_like": is_enhancer_like(F.col("ccre_type")), "is_ctcf_only": is_ctcf_only(F.col("ccre_type"))}
+    return out.withColumns({"genomic_context": coarse, "gene_feature_context": fine, **elements})

@@ -20,6 +20,13 @@ SELECT concat('ENSG', lpad(CAST(p_partkey AS STRING), 8, '0')) AS gene_id, p_nam
        greatest(1, p_partkey * 150 - p_size * 20) + 500 + p_size * 100 AS end_pos,
        CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand
 FROM part""",
+    "gene_parts": """
+SELECT gene_id, gene_name, chrom, start_pos + k * 150 AS start_pos, least(end_pos, start_pos + k * 150 + 90) AS end_pos,
+       CASE k WHEN 0 THEN 'five_prime_utr' WHEN 1 THEN 'exon' WHEN 2 THEN 'CDS' WHEN 3 THEN '3UTR' WHEN 4 THEN 'UTR' ELSE 'exon' END AS type
+FROM (SELECT concat('ENSG', lpad(CAST(p_partkey AS STRING), 8, '0')) AS gene_id, p_name AS gene_name,
+       concat('chr', CAST(p_partkey % 22 + 1 AS STRING)) AS chrom, greatest(1, p_partkey * 150 - p_size * 20) AS start_pos,
+       greatest(1, p_partkey * 150 - p_size * 20) + 500 + p_size * 100 AS end_pos, explode(sequence(0, 5)) AS k
+FROM part)""",
     "islands": """
 SELECT concat('chr', CAST(p_partkey % 22 + 1 AS STRING)) AS chrom,
        p_partkey * 150 + (p_size - 1) * 900 - 100 + 1 AS start_pos,
@@ -73,4 +80,4 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view_sql(name: str) -> str:
-    return MATRIX_SQL if name == "matrix" else VIEWS[name]
+    return MATRIX_SQL if name == "matrix" else VIEWS[name].replace("explode(sequence(0, 5))", "unnest(range(0, 6))")

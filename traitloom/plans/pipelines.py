@@ -71,13 +71,13 @@ def phenotype_pcs(features: DataFrame, samples: list[str], most: int = MOST_COMP
     return L.pcs_frame(features, scores, samples, n)
 
 
-def cohort(calls: DataFrame, genes: DataFrame, islands: DataFrame, ccres: DataFrame, n_samples: int, fraction: float, min_mad: float) -> DataFrame:
+def cohort(calls: DataFrame, genes: DataFrame, islands: DataFrame, ccres: DataFrame, features: DataFrame, n_samples: int, fraction: float, min_mad: float) -> DataFrame:
     """From raw calls to annotated passing sites with their imputation counts."""
     flagged, _ = C.filter_sample_methylation(calls)
     longs = C.log_coverage_baseline(flagged, C.sample_coverage(C.filter_chroms(calls)))
     sites = H.merge_cohort(longs, calls.select("sample_id").distinct(), n_samples, fraction, min_mad)
     passing = sites.where("keep_site").withColumns({"start_pos": F.col("begin_pos") + 1}).select("site_key", "chrom", "start_pos", "end_pos", "methylation_mad_passing_per_sample_qc", "n_samples_imputed_in_qtl_bed")
-    return I.annotate(passing, genes, islands, ccres)
+    return I.annotate(passing, genes, islands, ccres, features)
 
 
 def _names(n: int) -> list[str]:
@@ -189,5 +189,5 @@ query("X07_aggregate_chromosomes", SQL["A08_filter_summary"])(lambda d: aggregat
 query("X10_filter_by_connectivity")(lambda d: filter_by_connectivity(d.sample_rows, _representatives(d)))
 query("X11_phenotype_pcs")(lambda d: phenotype_pcs(_vectors(d), _names(_width(d))))
 query("X13_residualize")(lambda d: _elements(L.residualize(_vectors(d), _design(d))).withColumn("v", F.round("v", 6)))
-query("X15_cohort_driver")(lambda d: cohort(d.calls, d.genes, d.islands, d.ccres, N_SAMPLES, 0.6, 0.003))
+query("X15_cohort_driver")(lambda d: cohort(d.calls, d.genes, d.islands, d.ccres, d.gene_parts, N_SAMPLES, 0.6, 0.003))
 query("K05_write_pcs")(lambda d: phenotype_pcs(_vectors(d), _names(_width(d)), 2))

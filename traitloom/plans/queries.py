@@ -21,7 +21,8 @@ from ..operators import linalg as L
 from ..operators import proteomics as P
 from . import fixtures
 
-DIGITS = 6
+#: Digits that results are rounded to; FINE where short decimals would meet ties at the sixth.
+DIGITS, FINE = 6, 10
 CHROMS, FENCE, MIN_COV, FRACTION, MAD = "X|Y|M|_|22", 0.1, 10.0, 0.6, 0.003
 N_SAMPLES = 10
 PAIR_BP, PAIR_R = 1000, 0.2
@@ -59,6 +60,9 @@ STEPS = {
     WHEN NOT coalesce(methylation_mad_passing_per_sample_qc >= {MAD}e0, false) THEN 'Low methylation MAD' ELSE 'Pass all cohort filters' END AS failure_reason FROM metrics"""),
     "grid": (["longs", "sites"], """SELECT s.chrom, s.begin_pos, s.end_pos, s.site_key, p.sample_id, l.value FROM (SELECT * FROM sites WHERE keep_site) s CROSS JOIN (SELECT DISTINCT sample_id FROM longs) p
   LEFT JOIN (SELECT * FROM longs WHERE per_sample_qc_pass) l ON l.site_key = s.site_key AND l.sample_id = p.sample_id"""),
+    "spearman": (["longs"], """SELECT chrom, begin_pos, end_pos, site_key, count(*) AS n_samples_coverage_methylation_correlation, CASE WHEN count(*) >= 3 AND min(x) < max(x) AND min(y) < max(y) THEN corr(rx, ry) END AS coverage_methylation_spearman_rho FROM (
+    SELECT *, rank() OVER (PARTITION BY site_key ORDER BY x) + (count(*) OVER (PARTITION BY site_key, x) - 1) / 2e0 AS rx, rank() OVER (PARTITION BY site_key ORDER BY y) + (count(*) OVER (PARTITION BY site_key, y) - 1) / 2e0 AS ry
+    FROM (SELECT *, value AS x, norm_log_cov AS y FROM longs WHERE per_sample_qc_pass)) GROUP BY 1, 2, 3, 4"""),
     "filled": (["grid"], "SELECT * REPLACE (coalesce(value, avg(value) OVER (PARTITION BY site_key)) AS value), value IS NULL AS imputed FROM grid"),
     "spots": (["calls"], "SELECT DISTINCT concat_ws('*', chrom, begin_pos, end_pos) AS site_key, chrom, begin_pos + 1 AS start_pos, end_pos FROM calls"),
     "tss": (["genes"], "SELECT *, CASE WHEN strand = '-' THEN end_pos ELSE start_pos END AS tss FROM genes"),
@@ -88,7 +92,7 @@ STEPS = {
 }
 
 
-def sql_of(body: str, *steps: str, doubles: tuple[str, ...] = ()) -> str:
+def sql_of(body: str, *steps: str, doubles: tuple[str, ...] = (), digits: int = DIGITS) -> str:
     """A statement with the steps (and all that they need) as its tables; doubles are rounded as in rounded()."""
     order: list[str] = []
 
@@ -103,12 +107,12 @@ def sql_of(body: str, *steps: str, doubles: tuple[str, ...] = ()) -> str:
         need(s)
     tables = ", ".join(f"{n} AS ({STEPS[n][1] if n in STEPS else fixtures.view_sql(n)})" for n in order)
     if doubles:
-        body = f"SELECT * REPLACE ({', '.join(f'round({d}, {DIGITS}) AS {d}' for d in doubles)}) FROM ({body})"
+        body = f"SELECT * REPLACE ({', '.join(f'round({d}, {digits}) AS {d}' for d in doubles)}) FROM ({body})"
     return f"WITH {tables} {body}" if tables else body
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(c, DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 class Data:
@@ -197,9 +201,9 @@ class Data:
         return G.autosomal(self.genotypes)
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, digits: int = DIGITS):
     def register(f: Callable[[Data], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: rounded(f(Data(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: rounded(f(Data(spark, sf_dir)), digits)
         if sql:
             SQL[name] = sql
         return f
@@ -345,14 +349,9 @@ query("A02_sample_qc", sql_of(
     FROM flagged f JOIN coverage USING (sample_id) JOIN (SELECT sample_id, count(*) AS n_in FROM calls GROUP BY 1) USING (sample_id) GROUP BY 1""", "flagged", "coverage", doubles=("median_cov", "extreme_coverage_cutoff")))(
     lambda d: C.sample_qc(d.calls, d.kept, d.flagged, d.coverage)
 )
-query("A03_site_metrics", sql_of("SELECT * FROM metrics", "metrics", doubles=METRIC_DOUBLES))(lambda d: d.metrics)
+query("A03_site_metrics", sql_of("SELECT * FROM metrics", "metrics", doubles=METRIC_DOUBLES, digits=FINE), digits=FINE)(lambda d: d.metrics)
 query("A05_site_mad", sql_of("SELECT site_key, methylation_mad_passing_per_sample_qc AS mad FROM metrics", "metrics", doubles=("mad",)))(lambda d: d.metrics.select("site_key", F.col("methylation_mad_passing_per_sample_qc").alias("mad")))
-query("A06_site_spearman", sql_of(
-    """SELECT chrom, begin_pos, end_pos, site_key, count(*) AS n_samples_coverage_methylation_correlation, CASE WHEN count(*) >= 3 AND min(x) < max(x) AND min(y) < max(y) THEN corr(rx, ry) END AS coverage_methylation_spearman_rho FROM (
-    SELECT *, rank() OVER (PARTITION BY site_key ORDER BY x) + (count(*) OVER (PARTITION BY site_key, x) - 1) / 2e0 AS rx, rank() OVER (PARTITION BY site_key ORDER BY y) + (count(*) OVER (PARTITION BY site_key, y) - 1) / 2e0 AS ry
-    FROM (SELECT *, value AS x, norm_log_cov AS y FROM longs WHERE per_sample_qc_pass)) GROUP BY 1, 2, 3, 4""", "longs", doubles=("coverage_methylation_spearman_rho",)))(
-    lambda d: H.coverage_correlation(d.longs)
-)
+query("A06_site_spearman", sql_of("SELECT * FROM spearman", "spearman", doubles=("coverage_methylation_spearman_rho",)))(lambda d: H.coverage_correlation(d.longs))
 query("A07_cohort_summary", sql_of("SELECT count(*) AS n_sites, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS n_{c}" for c in ("pass_minimum_coverage_filter", "pass_sample_presence_filter", "pass_methylation_mad_filter", "has_missing_or_low_coverage", "has_extreme_coverage_loss", "keep_site")) + " FROM sites", "sites"))(lambda d: H.cohort_summary(d.sites))
 query("A08_filter_summary", sql_of("SELECT turn, r AS failure_reason, (SELECT count(*) FROM sites WHERE failure_reason = r) AS n_sites FROM (VALUES (0, 'Insufficient minimum coverage'), (1, 'Extreme coverage exclusion'), (2, 'Low methylation MAD'), (3, 'Pass all cohort filters')) v(turn, r)", "sites"))(lambda d: H.failure_summary(d.sites))
 query("A09_failure_patterns", sql_of(
@@ -508,19 +507,56 @@ query("X03_normalize_proteomics", sql_of(
 )
 query("X05_filter_sample_methylation", sql_of("SELECT * FROM flagged", "flagged", doubles=FLAGGED_DOUBLES))(lambda d: C.filter_sample_methylation(d.calls, CHROMS, MIN_COV, FENCE)[0])
 SITE_DOUBLES = METRIC_DOUBLES
-query("X06_merge_cohort", sql_of("SELECT * FROM sites", "sites", doubles=SITE_DOUBLES))(lambda d: d.sites)
+query("X06_merge_cohort", sql_of(
+    """SELECT s.*, coalesce(r.n_samples_coverage_methylation_correlation, 0) AS n_samples_coverage_methylation_correlation, r.coverage_methylation_spearman_rho, coalesce(i.n, 0) AS n_samples_imputed_in_qtl_bed
+    FROM sites s LEFT JOIN spearman r USING (site_key) LEFT JOIN (SELECT site_key, count(*) FILTER (WHERE imputed) AS n FROM filled GROUP BY 1) i USING (site_key)""",
+    "sites", "spearman", "filled", doubles=(*SITE_DOUBLES, "coverage_methylation_spearman_rho"), digits=FINE), digits=FINE)(
+    lambda d: H.merge_cohort(d.longs, d.samples, N_SAMPLES, FRACTION, MAD)
+)
+query("X06_cohort_scores", sql_of(f"SELECT chrom, begin_pos, end_pos, site_key, sample_id, value, imputed, {inverse_normal_sql('(r - 0.5e0) / n')} AS score FROM (SELECT *, {rank_sql('round(value, 9)', 'site_key')} AS r, count(*) OVER (PARTITION BY site_key) AS n FROM filled)", "filled", doubles=("value", "score")))(
+    lambda d: H.site_scores(d.filled.withColumn("exact", F.col("value")).withColumn("value", F.round("value", 9))).withColumn("value", F.col("exact")).select(*H.SITE, "sample_id", "value", "imputed", "score")
+)
 query("X09_cluster_correlated_sites")(lambda d: K.cluster_table(d.features, d.edges, K.components(d.features, d.edges, PAIR_BP)))
 query("X12_correlation_covariates", sql_of("SELECT c.sample_id, lib_size, gpc1, gpc2 FROM covariates c JOIN libs USING (sample_id)", "covariates", "libs", doubles=("lib_size", "gpc1", "gpc2")))(
     lambda d: V.correlation_covariates(E.library_sizes(d.expressed).withColumnRenamed("sample_id", "ID"), d.covariates)
 )
-query("X08_annotate_sites", sql_of(
-    f"""SELECT s.site_key, t.d AS nearest_tss_distance, coalesce(p.n, 0) AS n_promoter_genes, coalesce(b.n, 0) AS n_gene_body_genes, i.nearest_distance AS nearest_cpg_island_distance,
-    CASE WHEN p.n > 0 THEN 'promoter' WHEN b.n > 0 THEN 'gene_body_unclassified' ELSE 'intergenic' END AS genomic_context, coalesce(regexp_matches(c.t, '(^|,)(pELS|dELS)(,|$)'), false) AS is_enhancer_like
-    FROM spots s LEFT JOIN (SELECT site_key, min(abs(tss - x.start_pos)) AS d FROM spots x JOIN tss USING (chrom) GROUP BY 1) t USING (site_key)
-    LEFT JOIN (SELECT site_key, count(*) AS n FROM spots x JOIN promoters g ON x.chrom = g.chrom AND x.start_pos <= g.end_pos AND g.start_pos <= x.end_pos GROUP BY 1) p USING (site_key)
-    LEFT JOIN (SELECT site_key, count(*) AS n FROM spots x JOIN genes g ON x.chrom = g.chrom AND x.start_pos <= g.end_pos AND g.start_pos <= x.end_pos GROUP BY 1) b USING (site_key)
-    LEFT JOIN ({NEAR_ISLAND}) i USING (site_key) LEFT JOIN ({CCRE_TYPES}) c USING (site_key)""", "spots", "tss", "promoters", "islands", "ccres"))(
-    lambda d: I.annotate(d.spots, d.genes, d.islands, d.ccres).select("site_key", "nearest_tss_distance", "n_promoter_genes", "n_gene_body_genes", "nearest_cpg_island_distance", "genomic_context", "is_enhancer_like")
+GENE_PARTS = {"promoter": "SELECT * FROM promoters", "gene_body": "SELECT * FROM genes"} | {
+    label: f"SELECT * FROM gene_parts WHERE type IN ({', '.join(map(repr, types))})" for label, types in I.SUBFEATURES.items()
+}
+JOINED = "array_to_string(list_sort(list(DISTINCT nullif({0}, ''))), ';')"
+
+
+def _hits_sql(label: str, source: str, columns: dict[str, str], n: str) -> str:
+    lists = ", ".join(f"{JOINED.format('g.' + c)} AS {name}" for c, name in columns.items())
+    return f"(SELECT site_key, count(*) AS {n}, {lists} FROM spots x JOIN ({source}) g ON x.chrom = g.chrom AND x.start_pos <= g.end_pos AND g.start_pos <= x.end_pos GROUP BY 1) {label}"
+
+
+def _annotation_sql() -> str:
+    joins, columns = [], []
+    for label, source in GENE_PARTS.items():
+        joins.append(_hits_sql(f"h_{label}", source, {"gene_id": f"{label}_gene_id", "gene_name": f"{label}_gene_name"}, "n"))
+        columns += [f"coalesce(h_{label}.n, 0) AS n_{label}_genes", f"{label}_gene_id", f"{label}_gene_name", f"coalesce(h_{label}.n, 0) > 0 AS in_{label}"]
+    inside = "SELECT x.site_key, g.gene_id, min(g.gene_name) AS gene_name FROM spots x JOIN {0} g ON x.chrom = g.chrom AND x.start_pos <= g.end_pos AND g.start_pos <= x.end_pos {1} GROUP BY 1, 2"
+    introns = f"SELECT * FROM ({inside.format('genes', '')}) b ANTI JOIN ({inside.format('gene_parts', 'WHERE type = ' + repr('exon'))}) e USING (site_key, gene_id)"
+    joins.append(f"(SELECT site_key, count(*) AS n, {JOINED.format('gene_id')} AS intron_gene_id, {JOINED.format('gene_name')} AS intron_gene_name FROM ({introns}) GROUP BY 1) h_intron")
+    joins.append(_hits_sql("h_island", "SELECT * FROM islands", {"name": "cpg_island_name"}, "n"))
+    joins.append(_hits_sql("h_ccre", "SELECT * FROM ccres", {c: c for c in ("ccre_v4_id", "ccre_v5_id", "ccre_type")}, "n"))
+    columns += ["coalesce(h_intron.n, 0) AS n_intron_genes", "intron_gene_id", "intron_gene_name", "coalesce(h_intron.n, 0) > 0 AS in_intron"]
+    columns += ["coalesce(h_island.n, 0) AS n_overlapping_cpg_islands", "cpg_island_name", "coalesce(h_island.n, 0) > 0 AS in_cpg_island", "near.nearest_distance AS nearest_cpg_island_distance"]
+    columns += ["CASE WHEN near.nearest_distance = 0 THEN 'island' WHEN near.nearest_distance <= 2000 THEN 'shore' WHEN near.nearest_distance <= 4000 THEN 'shelf' ELSE 'open_sea' END AS cpg_island_context"]
+    columns += ["coalesce(h_ccre.n, 0) AS n_overlapping_ccres", "ccre_v4_id", "ccre_v5_id", "ccre_type", "coalesce(h_ccre.n, 0) > 0 AS in_ccre"]
+    columns += ["coalesce(regexp_matches(ccre_type, '(^|,)(pELS|dELS)(,|$)'), false) AS is_enhancer_like", "coalesce(regexp_matches(ccre_type, '(^|,)CTCF-only(,|$)'), false) AS is_ctcf_only"]
+    columns += ["CASE WHEN h_promoter.n > 0 THEN 'promoter' WHEN h_gene_body.n > 0 THEN 'gene_body' ELSE 'intergenic' END AS genomic_context"]
+    columns += ["CASE WHEN h_promoter.n > 0 THEN 'promoter' WHEN h_exon.n > 0 THEN 'exon' WHEN h_intron.n > 0 THEN 'intron' WHEN h_gene_body.n > 0 THEN 'gene_body_unclassified' ELSE 'intergenic' END AS gene_feature_context"]
+    nearest = "(SELECT site_key, min(abs(tss - x.start_pos)) AS nearest_tss_distance, arg_min(gene_id, (abs(tss - x.start_pos), tss, gene_id)) AS nearest_tss_gene_id FROM spots x JOIN tss USING (chrom) GROUP BY 1) t"
+    every = [nearest, *joins, f"({NEAR_ISLAND}) near"]
+    return f"SELECT site_key, s.chrom, s.start_pos, s.end_pos, nearest_tss_distance, nearest_tss_gene_id, {', '.join(columns)} FROM spots s " + " ".join(f"LEFT JOIN {x} USING (site_key)" for x in every)
+
+
+#: Columns of the annotation whose ties the SQL does not settle.
+UNSETTLED = ["nearest_tss_gene_name", "nearest_tss_strand", "nearest_cpg_island_name"]
+query("X08_annotate_sites", sql_of(_annotation_sql(), "spots", "tss", "promoters", "gene_parts", "islands", "ccres"))(
+    lambda d: I.annotate(d.spots, d.genes, d.islands, d.ccres, d.gene_parts).drop(*UNSETTLED)
 )
 query("X14_genotype_dosage_matrix", sql_of("SELECT variant_id, " + ", ".join(f"CAST(max(CASE WHEN sample_id = 'S{i:02d}' THEN dosage END) AS INT) AS S{i:02d}" for i in range(20)) + " FROM dosed GROUP BY 1", "dosed"))(
     lambda d: G.dosage_matrix(d.autosomal, [f"S{i:02d}" for i in range(20)])

@@ -9,9 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path under spark.checkpoint.dir; under a temporary folder only where the session names none, as in tests."""
+    """A new path under spark.checkpoint.dir; on one machine, a temporary folder where the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="traitloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
