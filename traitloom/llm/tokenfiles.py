@@ -1,7 +1,7 @@
 """Token files: one zstandard frame a document, each with its checksum, then a document directory and a seek table.
 
 A file is a run of ordinary zstandard frames, so any zstandard reader decompresses it as a whole. Two skippable
-frames end it: the directory (magic 0x184D2A50; doc_id of each frame as int64) and the seek table of the public
+frames end it: the directory (magic 0x184D2A50; bytes of an id as uint32, then doc_id of each frame as int64) and the seek table of the public
 seekable format (magic 0x184D2A5E; compressed size, decompressed size and checksum of each frame as uint32, then
 the number of frames, a descriptor byte and 0x8F92EAB1), with CRC-32 of the decompressed bytes as checksum.
 A reader takes the table from the file's end and decompresses only the frames it wants.
@@ -35,11 +35,18 @@ CACHE_WORDS = 600_000
 STEP = 128
 
 
+#: Texts whose ids are those of their lower-cased pieces, if the tokenizer's do not cross white space.
+PROBES = ("", " ", "\n\n", "One two", " The  QUICK\nbrown Fox. ", "it's Hello, World... 12 3", "A b c A B C", "caf\u00e9 na\u00efve \u4e2d\u6587 x", "word\n. word ,")
+#: A-Z to a-z, and an end of a line to a blank.
+_LOWER_LINES = bytes(32 if b == 10 else common.LOWER_ASCII[b] for b in range(256))
+
+
 class Encoder:
-    """encode() of a tokenizers file that drops white space, one white-space-free piece at a time.
+    """encode() of a tokenizers file, one white-space-free piece at a time where the file allows for it.
 
-    Normalising, splitting and merging of such a tokenizer never cross white space, so the ids of a text are
-    those of its pieces in turn; pieces recur, so most come from the cache.
+    It does if it lower-cases and drops white space by itself, as PROBES tell: then normalising, splitting and merging never cross white
+    space, so the ids of a text are those of its pieces in turn; pieces recur, so most come from the cache. Texts of any
+    other tokenizer are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -53,6 +60,10 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.by_piece = all(self._ids(x) == [i for p in x.lower().split() for i in self._ids(p)] for x in PROBES)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _words(self, words: list[str]) -> None:
         """Words of letters alone, many at a time; those whose marks do not tell them apart one by one."""
@@ -74,30 +85,35 @@ class Encoder:
 
     def _new(self, pieces: list[str]) -> None:
         """Letters and the stops after them are split from each other by any tokenizer of words, so both are looked up alone."""
-        parts, other = [], []
+        words, stopped, other = {p for p in pieces if p.isalpha()}, [], []
         for p in pieces:
-            word = p.rstrip(".,")
-            if word.isalpha():
-                parts.append((p, word.lower() if word.isascii() else word, p[len(word) :]))
-            else:
-                other.append(p)
-        wanted = {w for _, w, _ in parts if w not in self.cache}
-        known = [w for w in wanted if w in self.old]
+            if p not in words:
+                word = p.rstrip(".,")
+                if word.isalpha():
+                    stopped.append((p, word, p[len(word) :]))
+                else:
+                    other.append(p)
+        wanted = words.union(w for _, w, _ in stopped if w not in self.cache)
+        known = [w for w in wanted if w in self.old] if self.old else []
         self.cache.update({w: self.old[w] for w in known})
         self._words(list(wanted.difference(known)))
-        self._pieces([*{t for _, _, t in parts if t not in self.cache}, *other])
-        self.cache.update({p: self.cache[w] + self.cache[t] for p, w, t in parts})
+        self._pieces([*{t for _, _, t in stopped if t not in self.cache}, *other])
+        self.cache.update({p: self.cache[w] + self.cache[t] for p, w, t in stopped})
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]  # other white space stays inside pieces
+        if not self.by_piece:
+            return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        # other white space than blanks and ends of lines stays inside pieces
+        split = [(t or "").encode("utf-8", "surrogatepass").translate(_LOWER_LINES).decode("utf-8", "surrogatepass").split(" ") for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache, self.old = {}, self.cache
-        missing = {p for pieces in split for p in pieces if p not in self.cache}
-        known = [p for p in missing if p in self.old]
-        self.cache.update({p: self.old[p] for p in known})
-        self._new(list(missing.difference(known)))
-        get = self.cache.__getitem__
+        cache, old = self.cache, self.old
+        missing = [p for p in set().union(*split) if p not in cache]
+        known = [p for p in missing if p in old] if old else []
+        cache.update({p: old[p] for p in known})
+        self._new(list(set(missing).difference(known)) if known else missing)
+        get = cache.__getitem__
         return [b"".join(map(get, pieces)) for pieces in split]
 
 
@@ -117,7 +133,8 @@ def frame(ids: bytes, level: int = LEVEL) -> bytes:
 class Writer:
     """Writes one file in order; a file appears under its name only when it is whole."""
 
-    def __init__(self, fs: pyarrow.fs.FileSystem, path: str):
+    def __init__(self, fs: pyarrow.fs.FileSystem, path: str, width: int = 2):
+        self.width = width
         self.fs, self.path, self.part = fs, path, f"{path}.{os.getpid()}-{os.urandom(4).hex()}"
         self.out, self.ids, self.table = fs.open_output_stream(self.part), [], []
 
@@ -127,7 +144,7 @@ class Writer:
         self.table.append((len(data), size, crc))
 
     def close(self) -> None:
-        directory = np.array(self.ids, "<i8").tobytes()
+        directory = struct.pack("<I", self.width) + np.array(self.ids, "<i8").tobytes()
         self.out.write(struct.pack("<II", DIRECTORY, len(directory)) + directory)
         table = np.array(self.table, "<u4").reshape(-1, 3).tobytes()
         self.out.write(struct.pack("<II", SEEK_TABLE, len(table) + 9) + table + struct.pack("<IBI", len(self.table), 0x80, FOOTER))
@@ -148,8 +165,11 @@ class Reader:
         self.table = np.frombuffer(self.file.read_at(12 * n, begin + 8), "<u4").reshape(n, 3).astype(np.int64)
         if struct.unpack("<II", self.file.read_at(8, begin)) != (SEEK_TABLE, 12 * n + 9):
             raise ValueError(f"{path}: broken seek table")
-        ids = self.file.read_at(8 * n + 8, begin - 8 * n - 8)
-        self.doc_ids = np.frombuffer(ids[8:], "<i8")
+        ids = self.file.read_at(8 * n + 12, begin - 8 * n - 12)
+        if struct.unpack("<II", ids[:8]) != (DIRECTORY, 8 * n + 4):
+            raise ValueError(f"{path}: broken directory")
+        self.width = struct.unpack("<I", ids[8:12])[0]
+        self.doc_ids = np.frombuffer(ids[12:], "<i8")
         self.starts = np.concatenate([[0], np.cumsum(self.table[:, 0])])
         self.unpack = zstandard.ZstdDecompressor().decompress
 
@@ -201,7 +221,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             for no, doc_id, data, size, crc in zip(*(batch.column(c).to_pylist() for c in ("file_no", "doc_id", "frame", "size", "crc")), strict=True):
                 if out is None:
                     fs.create_dir(root, recursive=True)
-                    number, out = no, Writer(fs, f"{root}/{file_name(no)}")
+                    number, out = no, Writer(fs, f"{root}/{file_name(no)}", width)
                 out.add(doc_id, data, size, crc)
                 tokens += size // width
         if out is not None:
@@ -217,7 +237,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     return common.stash(placed.mapInArrow(write, "file_no int, path string, n_docs long, n_tokens long"), "token-files")
 
 
-def read_tokens(files: DataFrame, wanted: Iterable[int] | None = None, width=np.uint16) -> DataFrame:
+def read_tokens(files: DataFrame, wanted: Iterable[int] | None = None) -> DataFrame:
     """Read files (file_no, path, n_tokens) back: one row a document, doc_id, start, n_tokens, ids, ids_crc32.
 
     start counts the ids of all documents before it, over all files; with wanted, only frames of those doc_ids
@@ -225,18 +245,17 @@ def read_tokens(files: DataFrame, wanted: Iterable[int] | None = None, width=np.
     """
     chosen = None if wanted is None else set(wanted)
     before = F.sum("n_tokens").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1))  # a row a file
-    size = np.dtype(width).itemsize
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 fs, name = pyarrow.fs.FileSystem.from_uri(path)
                 file = Reader(fs, name)
-                starts = start + np.concatenate([[0], np.cumsum(file.table[:, 1] // size)])
+                starts, kind = start + np.concatenate([[0], np.cumsum(file.table[:, 1] // file.width)]), f"<u{file.width}"
                 picks = [i for i in range(len(file)) if chosen is None or int(file.doc_ids[i]) in chosen]
                 for at in range(0, len(picks), 512):
                     some = picks[at : at + 512]
-                    ids = [np.frombuffer(file.get(i), np.dtype(width).newbyteorder("<")).astype("<u4") for i in some]
+                    ids = [np.frombuffer(file.get(i), kind).astype("<u4") for i in some]
                     crc = [zlib.crc32(x.tobytes()) for x in ids]
                     ids_of = [None if file.doc_ids[i] == -(1 << 63) else int(file.doc_ids[i]) for i in some]
                     yield pa.record_batch(
@@ -256,6 +275,7 @@ def tokenizer_path() -> str:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back: place, number and checksum of each document's ids."""
     docs = common.table(spark, sf_dir, "documents")
     files = write_tokens(docs, common.new_folder(spark, "tokens"), tokenizer_path())
     return read_tokens(files).select("doc_id", "start", "n_tokens", "ids_crc32")
