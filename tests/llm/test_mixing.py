@@ -70,3 +70,24 @@ def test_odd_rows(spark, odd, empty):
     assert want.keys() == {r.source for r in rows}
     assert mixing.emit(mixed).count() == sum(r.mix_copies for r in rows)
     assert mixing.plan_mix(empty).count() == 0
+
+
+def test_many_buckets(spark, real, monkeypatch):
+    """Small pieces: prefix sums over sizes and buckets give the ranks of one order by size, bucket, id and text hash."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0")).withColumn("source", F.when(F.col("doc_id") % 2 == 0, "one").otherwise(F.col("source")))
+    buckets = 1 + docs.count() // 5
+    tie = F.xxhash64("text")
+    rows = docs.select("doc_id", "source", "text", tie.alias("tie"), F.pmod(F.xxhash64("doc_id", tie), F.lit(buckets)).alias("bucket")).collect()
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r.source].append((-words(r.text), r.bucket, r.doc_id, r.tie))
+    targets, u, want = water_fill({s: -sum(x[0] for x in xs) for s, xs in by_source.items()}), mixing.offset(), []
+    for s, xs in by_source.items():
+        rate = targets[s] / -sum(x[0] for x in xs)
+        want += [(s or "", x[2], min(3, int((i + 1) * rate + u) - int(i * rate + u))) for i, x in enumerate(sorted(xs))]
+    got = [(r.source or "", r.doc_id, r.mix_copies) for r in mixing.plan_mix(docs).collect()]
+    assert buckets > 40 and sorted(got) == sorted(want)

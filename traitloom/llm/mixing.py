@@ -56,8 +56,8 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, see
     a document's prefix sum is its rank times the rate; it is emitted once per integer that its
     stretch of the prefix sum, shifted by the offset, crosses.
 
-    Ranks are counted in pieces: a histogram by (source, size, bucket) gives each piece's start and a
-    window only ranks rows of one piece, so a source of any size is dealt over many tasks.
+    Ranks are counted in pieces: a histogram by source and size, then by bucket within a size, gives each piece's start and a
+    window only ranks rows of one piece, so a source of any number of rows is dealt over many tasks. Very long texts count whole.
     Null text has size 0; null source is a source; documents of equal source, size, id and text share their
     copies in any order; an empty table gives an empty result. Existing mix_* columns are replaced.
     """
@@ -79,9 +79,13 @@ def _ranked(sized: DataFrame, keep: list[str], weights, max_repeat: int, seed: i
     hist = common.stash(small.groupBy(key, "source", "mix_size", bucket).count(), "mix-histogram")
     totals = hist.groupBy("source").agg(F.sum(F.col("mix_size") * F.col("count")).alias("source_size"))
     targets = source_targets(totals, weights, max_repeat).withColumn("__key", key).drop("source")
-    ahead = Window.partitionBy("__key").orderBy(F.desc("mix_size"), "__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Two prefix sums: over the sizes of a source, which are few however many rows it has, and over the buckets of one size.
+    ahead = Window.partitionBy("__key").orderBy(F.desc("mix_size")).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("__key", "mix_size").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hist.groupBy("__key", "mix_size").agg(F.sum("count").alias("n"))
+    sizes = sizes.select("__key", "mix_size", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("__ahead"))
     starts = (
-        hist.withColumn("__start", F.coalesce(F.sum("count").over(ahead), F.lit(0)))
+        hist.join(sizes, ["__key", "mix_size"]).withColumn("__start", F.col("__ahead") + F.coalesce(F.sum("count").over(within), F.lit(0)))
         .join(targets, "__key").select("__key", "mix_size", "__bucket", "__start", "source_size", "target")
     )
     piece = ["__key", "mix_size", "__bucket"]
@@ -105,6 +109,7 @@ def emit(mixed: DataFrame) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: what it takes of each."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = docs.select(
         "doc_id", "source",
