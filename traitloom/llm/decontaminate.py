@@ -16,6 +16,9 @@ WINDOW, SHINGLE = 10, 3
 #: Bytes of benchmark text that one pass over the documents holds in memory; more items take more passes.
 BLOCK_BYTES = 8 << 20
 
+#: Blocks whose searches run in one pass; after so many the documents are written with what was found.
+WRITE_EVERY = 4
+
 
 class Windows:
     """The windows of one block of benchmark items, and, once rarity() is told, the index of their prefixes."""
@@ -194,6 +197,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     empty string; equal item_ids are one item; extra columns are ignored; empty tables give no hits.
     """
     docs = docs.select("doc_id", "text")
+    texts = docs  # rarity is counted on these, never on what earlier blocks made of them
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.encode("text", "UTF-8").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + total // block_bytes
@@ -201,8 +205,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     for n in range(blocks):
         rows = items.where(block == n) if blocks > 1 else items
         index = Windows([(r["item"], bytes(r["text"])) for r in rows.collect()], window)
-        index.rarity(_rarity(docs, index))
+        index.rarity(_rarity(texts, index))
         docs = _hits(docs, index, n > 0, n < blocks - 1)
+        if n % WRITE_EVERY == WRITE_EVERY - 1 and n < blocks - 1:
+            docs = common.stash(docs, "decontaminate")
     return docs
 
 
@@ -215,6 +221,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
     return decontaminate(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
