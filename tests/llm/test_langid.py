@@ -21,31 +21,48 @@ def test_automaton_is_complete():
 
 
 def phrases(text, sample):
-    """Greedy longest matches, block by block."""
-    count, sample = 0, f" {sample} "
-    for at in range(0, len(text), langid.BLOCK):
-        block, i = text[at : at + langid.BLOCK], 0
-        while i < len(block):
-            n = 1
-            while i + n < len(block) and block[i : i + n + 1] in sample:
-                n += 1
-            i += n
-            count += 1
-        count += 0
+    """Greedy longest matches; a letter that the sample lacks is one."""
+    count, i, sample = 0, 0, f" {sample} "
+    while i < len(text):
+        n = 1
+        while i + n < len(text) and text[i : i + n + 1] in sample:
+            n += 1
+        i += n
+        count += 1
     return count
 
 
 def test_phrases_match_brute_force():
-    sample = (("x", "the cat sat on the mat and the rat"), ("y", "le chat est sur la table et le rat"))
+    sample = (("x", "the cat sat on the mat and the rat"), ("y", "le chat est sur la table et le rat"), ("z", "\u4e2d\u6587 \u5b57 the"))
     model = langid.Models(sample)
     rng = np.random.default_rng(3)
-    for text in ["The CAT zat!! on ß mat", "le chat", "a", "  Rat  rat 12 rät", "".join(rng.choice(list("thecar. é"), 1500))]:
+    texts = ["The CAT zat!! on \xdf mat", "le chat", "a", "  Rat  rat 12 r\xe4t", "\u4e2d\u6587\u5b57 cat \xdf"]
+    texts += ["".join(rng.choice(list("thecar. \xe9"), n)) for n in (1500, 511, 510, 5000)] + ["the cat sat on the mat " * 100]
+    got = model.phrases([model.codes(t) for t in texts])
+    for i, text in enumerate(texts):
         clean = " " + langid.normal(text) + " "
-        got = model.phrases([model.codes(text)])[0]
-        for k, (_, s) in enumerate(sample):
-            last = len(clean) % langid.BLOCK or langid.BLOCK
-            assert len(model.codes(text)) == len(clean) and last
-            assert abs(int(got[k]) - phrases(clean, s)) <= -(-len(clean) // langid.BLOCK)  # a block may end as a phrase ends
+        assert len(model.codes(text)) == len(clean)
+        assert got[i].tolist() == [phrases(clean, s) for _, s in sample], text
+
+
+def test_predictions_match_brute_force(spark, real):
+    """Whole documents against models of a short sample: language and score by plain parsing."""
+    sample = tuple((lang, text[:1500]) for lang, text in langid.fit(spark.read.parquet(f"{SF}/documents.parquet")))
+    rows = [r for r in real if len(r.text or "") < 4000][:60]
+    langs, scores = langid.Models(sample).predict([r.text for r in rows])
+    for r, lang, score in zip(rows, langs, scores, strict=True):
+        clean = " " + langid.normal(r.text or "") + " "
+        if not clean.strip():
+            assert (lang, score) == ("und", 0.0)
+            continue
+        cost = sorted((phrases(clean, s) * math.log2(len(s) + 2) / len(clean), name) for name, s in sample)
+        assert lang == cost[0][1] and math.isclose(score, min(1, max(0, 1 - cost[0][0] / cost[1][0])), abs_tol=1e-12)
+
+
+def test_many_letters_stay_bounded(monkeypatch):
+    monkeypatch.setattr(langid, "TABLE_BYTES", 1 << 16)
+    model = langid.Models((("x", "".join(chr(0x4E00 + i % 900) for i in range(5000))), ("y", "the cat sat on the mat")))
+    assert all(t.nbytes <= 1 << 16 for t in model.tables) and model.predict(["\u4e00\u4e01\u4e02", "the mat"])[0] == ["x", "y"]
 
 
 def test_held_out_accuracy(spark, real):

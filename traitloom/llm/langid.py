@@ -16,8 +16,10 @@ from . import common
 #: Bounds of the labelled sample that the models are fitted on: documents a language, characters that are read of
 #: each, characters of normalised text a language.
 SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 256, 4_096, 49_152
-#: Parsing starts anew after so many normalised characters, for every language alike, so that the blocks of a batch are parsed
-#: side by side; a block boundary adds at most one phrase.
+#: Bytes of a language's table of moves at most; a language of very many letters learns from fewer characters.
+TABLE_BYTES = 256 << 20
+#: Texts are cut into so many characters that are parsed side by side, and again from where the cut before them ended, until
+#: that is where they began; the phrases are those of parsing each text in one go.
 BLOCK = 512
 SPACE, UNSEEN = 0, 1
 UNDETERMINED = "und"
@@ -73,28 +75,42 @@ class Models:
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
         self.langs = [lang for lang, _ in sample]
-        alphabet = sorted({c for _, text in sample for c in text} - {" "})
+        texts = [self._bounded(text) for _, text in sample]
+        alphabet = sorted({c for text in texts for c in text} - {" "})
         code = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": SPACE}
-        self.width = len(code) + 1
         self.classes = _letters().astype(np.uint16)  # UNSEEN for letters, SPACE for the rest
         for c in alphabet:
             for form in {c, c.upper(), c.title()}:
                 if len(form) == 1:
                     self.classes[ord(form)] = code[c]
-        self.tables, self.bits = [], []
-        for _, text in sample:
-            moves = automaton([code[c] for c in f" {text} "])
-            root = np.full(self.width, 2, np.int64)
+        self.tables, self.bits, self.own = [], [], []
+        for text in texts:
+            letters = sorted(set(text) - {" "})  # a table is as wide as its own language's letters; others' are unseen
+            mine = {c: i + 2 for i, c in enumerate(letters)} | {" ": SPACE}
+            own = np.full(len(code) + 2, UNSEEN, np.uint16)
+            for c, i in mine.items():
+                own[code[c]] = i
+            width = len(mine) + 1
+            moves = automaton([mine[c] for c in f" {text} "])
+            root = np.full(width, 2, np.int64)
             for c, to in moves[0].items():
-                root[c] = to * self.width * 4 + 1
-            table = np.tile(root, (len(moves), 1))
+                root[c] = to * width * 4 + 1
+            table = np.tile(root.astype(np.int32 if len(moves) * width * 4 < 1 << 31 else np.int64), (len(moves), 1))
             table[0] -= 1  # at the root no phrase is open
             for state, row in enumerate(moves):
                 for c, to in row.items():
-                    table[state, c] = to * self.width * 4
-            self.tables.append(table.ravel().astype(np.int32 if table.size * 4 < 1 << 31 else np.int64))
+                    table[state, c] = to * width * 4
+            self.tables.append(table.ravel())
+            self.own.append(own)
             self.bits.append(math.log2(len(text) + 2))
 
+    @staticmethod
+    def _bounded(text: str) -> str:
+        """The beginning of text whose table, of at most two states a character, fits TABLE_BYTES."""
+        while len(text) > 1 and 8 * (len(text) + 2) * (len(set(text)) + 2) > TABLE_BYTES:
+            text = text[: len(text) * 3 // 4]
+        return text
+
     def codes(self, text: str) -> np.ndarray:
         """Codes of the normalised text with a space at either end; runs of other characters are one space."""
         found = self.classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -114,17 +130,30 @@ class Models:
             at += n
             length[at - 1] = len(t) - (n - 1) * BLOCK
         order = np.argsort(-length, kind="stable")
-        steps = np.ascontiguousarray(lanes[order].T)
-        open_at = np.searchsorted(-length[order], -np.arange(BLOCK), side="left")  # lanes longer than the step
+        place = np.argsort(order)
+        follows = np.append(owner[1:] == owner[:-1], False)[order]  # whether a block goes on in the next one
+        following = place[np.minimum(order + 1, len(order) - 1)]
+        steps, length = np.ascontiguousarray(lanes[order].T), length[order]
         out = np.empty((len(texts), len(self.langs)), np.int64)
         for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(order), table.dtype), np.ones(len(order), np.int64)
-            for j, n in enumerate(open_at):
-                if not n:
-                    break
-                entry = table[state[:n] + steps[j, :n]]
-                count[:n] += entry & 3
-                state[:n] = entry >> 2
+            begin, end, count = (np.zeros(len(order), np.int64) for _ in range(3))
+            todo, own = np.arange(len(order)), self.own[k][steps]
+            while len(todo):
+                some = own if len(todo) == len(order) else own[:, todo]
+                open_at = np.searchsorted(-length[todo], -np.arange(BLOCK), side="left")  # blocks longer than the step
+                state, ends = begin[todo].astype(table.dtype), np.zeros(len(todo), np.int64)
+                for j, n in enumerate(open_at):
+                    if not n:
+                        break
+                    entry = table[state[:n] + some[j, :n]]
+                    ends[:n] += entry & 3
+                    state[:n] = entry >> 2
+                end[todo], count[todo] = state, ends
+                on = todo[follows[todo]]
+                on = on[begin[following[on]] != end[on]]
+                begin[following[on]] = end[on]
+                todo = np.sort(following[on])
+            count[~follows] += end[~follows] != 0  # the last phrase, unless it ended with an unseen letter
             out[:, k] = np.bincount(owner[order], weights=count, minlength=len(texts))
         return out
 
@@ -188,7 +217,8 @@ def identify(docs: DataFrame, sample: tuple[tuple[str, str], ...]) -> DataFrame:
     The language whose text needs the fewest bits wins: phrases of the cross-parsing times the bits of a position in
     that text, by character. score is one less best over second best. Null texts and those without a letter are
     `und` with score 0, as is every text when nothing was learned; letters that no language has are phrases of
-    their own; of equal languages the first by name. Rows are handled where they lie, whole.
+    their own; of equal languages the first by name. Rows are handled where they lie, whole; texts may be of any length; an
+    empty table gives no rows.
     """
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
     docs = docs.select(*[f"`{c}`" for c in keep])
@@ -209,6 +239,7 @@ def identify(docs: DataFrame, sample: tuple[tuple[str, str], ...]) -> DataFrame:
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
     docs = common.table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), fit(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
