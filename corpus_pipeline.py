@@ -15,8 +15,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no text, or no letter in it) go."""
-    return langid.identify(docs.select(*COLUMNS), langid.fit(docs)).where(F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
+    """Documents whose language can't be told (no text, or no letter in it) go; lang of the others becomes the language told from
+    their text, whatever it was. An empty table, or one without labels, leaves nothing to learn from, and nothing stays."""
+    told = langid.identify(docs.select(*COLUMNS), langid.fit(docs)).where(F.col("lang_pred") != langid.UNDETERMINED)
+    return told.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,19 +32,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold a passage of the benchmark go, whatever other rows share their doc_id. The search carries each row's columns."""
+    """Rows that hold a passage of the benchmark go, whatever other rows share their doc_id. The search carries each row's columns.
+    Rows of null text stay; an empty benchmark takes none."""
     items = common.table(spark, sf_dir, "benchmark")
     rows = docs.select(F.struct(*COLUMNS).alias("doc_id"), "text")
     return decontaminate.decontaminate(rows, items).where(~F.col("contaminated")).select("doc_id.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; null is a source of its own, null text has no words."""
     return mixing.emit(mixing.plan_mix(docs.select(*COLUMNS)))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of each document in them."""
+    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of each document in them. Null doc_ids come first, null
+    text has the end id alone, and no documents make no file."""
     files = tokenfiles.write_tokens(docs, common.new_folder(spark, "corpus"), tokenfiles.tokenizer_path())
     return tokenfiles.read_tokens(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
