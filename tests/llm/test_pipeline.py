@@ -38,7 +38,10 @@ def test_stages_keep_columns_and_odd_rows(spark, odd, empty):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, SF)
             assert out.columns == corpus_pipeline.COLUMNS and (out.count() <= n or name == "mixing")
+        tokens = corpus_pipeline.write_tokens(spark, docs, SF).collect()
+        assert len(tokens) == n and sorted(r.start for r in tokens) == [sum(r.n_tokens for r in tokens if r.start < s) for s in sorted(r.start for r in tokens)]
     left = corpus_pipeline.identify_language(spark, odd, SF).collect()
+    assert {r.lang for r in left} <= {"en", "fr", "de"}
     assert {r.doc_id for r in left} == {4, 5, 6, 7, 8, 9, None} and langid.UNDETERMINED == "und"
     kept = corpus_pipeline.drop_near_copies(spark, odd, SF).collect()
     assert {r.doc_id for r in kept} == {1, 4, 5, 7, 8, 10, None}
