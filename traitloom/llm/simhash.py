@@ -24,6 +24,8 @@ SHINGLE, DISTANCE, SEED = 4, 4, 42
 GROUPS = 8
 #: Fingerprints of a cell that one task compares; larger cells are cut by a finer grid first.
 CELL = 4_096
+#: One of so many rows or more makes a fingerprint frequent, so there are at most so many of these.
+FREQUENT = 10_000
 EVEN = 0x5555555555555555
 
 
@@ -235,6 +237,8 @@ def star_links(fps: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, n
 
 def near_links(fps: DataFrame, cell: int = CELL) -> DataFrame:
     """Links (a, b) between distinct fingerprints (fp), enough to join all that pairs within DISTANCE bits join."""
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = fps.repartition(parts, "fp")  # 70 rows each come of them: not in the few tasks that hold them
     found = common.stash(links(first_cells(fps).repartition("cell").sortWithinPartitions("cell"), cell), "simhash-links")
     large = found.where("cell is not null").select("cell", "grid", F.col("a").alias("fp"))
     again = links(finer_cells(large).repartition("cell").sortWithinPartitions("cell"), None)
@@ -249,15 +253,20 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     rows; other columns are ignored; an empty table gives no rows.
     """
     fps = common.stash(fingerprint(docs, shingle), "simhash-fps")
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = common.stash(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "simhash-least")
+    many = max(1.0, (least.agg(F.sum("rows")).first()[0] or 0) / FREQUENT)
     joined = common.components(near_links(fps.select("fp").distinct()), "simhash")
     of = joined.join(least, joined["node"] == least["fp"]).select("node", "component", "least")
     roots = of.groupBy("component").agg(F.min("least").alias("component_id"))
     known = joined.join(roots, "component").select(F.col("node").alias("fp"), "component_id")
-    ids = least.join(known, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = common.stash(least.join(known, "fp", "left").select("fp", "rows", F.coalesce("component_id", "least").alias("component_id")), "simhash-ids")
+    # rows of a fingerprint that many share stay where they are; at most FREQUENT of these go to every task
+    hot = F.broadcast(ids.where(F.col("rows") > many).select("fp", "component_id"))
+    rest = fps.join(hot.select("fp"), "fp", "left_anti").join(ids.where(F.col("rows") <= many).drop("rows"), "fp")
+    return fps.join(hot, "fp").unionByName(rest).select("doc_id", "fp", "component_id")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     found = near_dedup(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
