@@ -22,9 +22,11 @@ ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; on one machine, a temporary one where the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="traitloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -68,8 +68,10 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """parts() with told: base kinds always, weak ones only when complementary parts stand within scope.
 
     A weak identifier needs a secret, a weak secret an identifier, an endpoint both. The interval join of parts with
-    parts within scope is a sweep by start: a part of a role lies near if the furthest end so far or the next start is
-    near, so no pair is made however many parts a row has. Weak parts inside a base span are left out.
+    parts within scope is a sweep by start: of each role, the part that ends furthest so far and the one that starts next are
+    the nearest, so each part has at most one partner of each other role (partners: gap, turn, kind, start, end) however many
+    parts a row has. Weak parts inside a base span are left out. Of parts that start alike the one that ends first, then
+    the kind first by name comes first.
     """
     role, base = by_kind(lambda k: F.lit(KINDS[k][3])), by_kind(lambda k: F.lit(KINDS[k][4]))
     sweep = Window.partitionBy("row").orderBy("start", "end", "kind")
@@ -78,28 +80,38 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     upto = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
 
     def near(wanted: str) -> Column:
-        last = F.max(F.when(F.col("role") == wanted, F.col("end"))).over(before)
-        following = F.min(F.when(F.col("role") == wanted, F.col("start"))).over(after)
-        return F.coalesce(last >= F.col("start") - scope, F.lit(False)) | F.coalesce(following <= F.col("end") + scope, F.lit(False))
+        """The nearest part of a role within scope: gap, kind, start and end; of equally near ones the one before."""
+        mine = F.col("role") == wanted
+        last = F.max(F.when(mine, F.struct("end", "start", "kind"))).over(before)
+        following = F.min(F.when(mine, F.struct("start", "end", "kind"))).over(after)
 
-    rows = found.select("*", role.alias("role"), base.alias("base")).select("*", near("identifier").alias("by_identifier"), near("secret").alias("by_secret"))
+        def partner(found: Column, gap: Column, turn: int) -> Column:
+            gap = F.greatest(gap, F.lit(0))
+            return F.when(gap <= scope, F.struct(gap.alias("gap"), F.lit(turn).alias("turn"), found["kind"].alias("kind"), found["start"].alias("start"), found["end"].alias("end")))
+
+        behind = F.when(last.isNotNull(), partner(last, F.col("start") - last["end"], 0))
+        ahead = F.when(following.isNotNull(), partner(following, following["start"] - F.col("end"), 1))
+        return F.least(behind, ahead)
+
+    roles = ("identifier", "secret", "endpoint")
+    rows = found.select("*", role.alias("role"), base.alias("base")).select("*", *[near(r).alias(f"by_{r}") for r in roles])
     covered = F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(upto) >= F.col("end"), F.lit(False))
-    complete = (
-        F.when(F.col("role") == "identifier", F.col("by_secret")).when(F.col("role") == "secret", F.col("by_identifier"))
-        .otherwise(F.col("by_identifier") & F.col("by_secret"))
-    )
-    told = F.col("base") | (complete & ~covered)
-    return rows.select("row", "doc_id", "kind", "start", "end", "base", F.coalesce(told, F.lit(False)).alias("told"))
+    has = {r: F.col(f"by_{r}").isNotNull() for r in roles}
+    complete = F.when(F.col("role") == "identifier", has["secret"]).when(F.col("role") == "secret", has["identifier"]).otherwise(has["identifier"] & has["secret"])
+    told = F.coalesce(F.col("base") | (complete & ~covered), F.lit(False))
+    partners = F.array_compact(F.array(*[F.when(F.col("role") != r, F.col(f"by_{r}")) for r in roles]))
+    return rows.select("row", "doc_id", "kind", "start", "end", "base", told.alias("told"), F.when(told, partners).alias("partners"))
 
 
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, found (array of structs start, turn, end, kind, base), sorted.
+    """Per row of docs (doc_id, text): doc_id, found (array of structs start, turn, end, kind, base, partners), sorted.
 
-    Null text is empty; null or repeated doc_ids are rows of their own; other columns are ignored.
+    Null text is empty; null or repeated doc_ids are rows of their own; texts of any length are read whole; other columns are
+    ignored, whatever their names; an empty table gives no rows.
     """
     linked = link(parts(docs), scope)
     turn = by_kind(lambda kind: F.lit(list(KINDS).index(kind)))
-    span = F.when(F.col("told"), F.struct("start", turn.alias("turn"), "end", "kind", "base"))
+    span = F.when(F.col("told"), F.struct("start", turn.alias("turn"), "end", "kind", "base", "partners"))
     return linked.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(span)).alias("found")).drop("row")
 
 
@@ -107,10 +119,17 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _links(found: Column) -> Column:
+    """span>partner for each partner of each span."""
+    name = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    return F.array_join(F.flatten(F.transform(found, lambda s: F.transform(s["partners"], lambda p: F.concat(name(s), F.lit(">"), name(p))))), ",")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, and which parts of a credential belong together."""
     found = scan(common.table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"),
-        F.sha2(_joined(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"),
+        F.sha2(_joined(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"), _links(F.col("found")).alias("links"),
     )
