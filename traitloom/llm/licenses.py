@@ -47,19 +47,27 @@ def _array(words: list[str]) -> Column:
     return F.array(*map(F.lit, words))
 
 
-def places(joined: Column, words: Column, phrase: list[str], idf: dict[str, float]) -> Column:
-    """Where the phrase starts in words. Its two rarest words are looked up; their places, less their places in the phrase, are
-    intersected; what is left is verified word by word. Rows whose joined text lacks the phrase are not looked into."""
-    ranked = sorted(range(len(phrase)), key=lambda i: (-idf[phrase[i]], i))
+def anchors_of(phrase: list[str], idf: dict[str, float]) -> list[int]:
+    """Places in the phrase of its two rarest words, the rarest first."""
+    return sorted(range(len(phrase)), key=lambda i: (-idf[phrase[i]], i))[:2]
+
+
+def postings(words: Column, anchors: list[str]) -> Column:
+    """The row's positional index: word and place of each of its words that anchors a phrase. Most rows have none."""
+    every = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: x["word"].isin(anchors))
+    return F.when(F.arrays_overlap(words, _array(anchors)), every).otherwise(F.array().cast("array<struct<word:string,at:int>>"))
+
+
+def places(posts: Column, words: Column, phrase: list[str], idf: dict[str, float]) -> Column:
+    """Where the phrase starts in words: postings of its two rarest words, less their places in the phrase, are intersected; what is
+    left is verified word by word."""
 
     def starts(i: int) -> Column:
-        return F.filter(F.sequence(F.lit(0), F.size(words) - len(phrase)), lambda at: F.get(words, at + i) == phrase[i])
+        return F.transform(F.filter(posts, lambda x: x["word"] == phrase[i]), lambda x: x["at"] - i)
 
-    found = starts(ranked[0])
-    if len(ranked) > 1:
-        found = F.array_intersect(found, starts(ranked[1]))
-    verified = F.filter(found, lambda at: F.slice(words, at + 1, F.lit(len(phrase))) == _array(phrase))
-    return F.when(joined.contains(f" {' '.join(phrase)} "), verified).otherwise(F.array().cast("array<int>"))
+    ranked = anchors_of(phrase, idf)
+    found = F.array_intersect(starts(ranked[0]), starts(ranked[-1]))
+    return F.filter(found, lambda at: (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.lit(len(phrase))) == _array(phrase)))
 
 
 def cover(words: Column, starts: Column, template: list[str], shift: int, idf: dict[str, float]) -> Column:
@@ -80,15 +88,17 @@ def scan(docs: DataFrame, templates=tuple(TEMPLATES)) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_words, base (starts by phrase), found (label and cover of each template whose key phrase stands).
 
     Two passes: rarity of the license words over all documents, then each row by itself, without a shuffle. Null text has no
-    words; null or repeated doc_ids are rows of their own; other columns are ignored.
+    words; null or repeated doc_ids are rows of their own; texts of any length are read whole; words of equal rarity rank by place;
+    other columns are ignored, whatever their names; an empty table gives no rows.
     """
     rows = docs.select("doc_id", words_of(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
     split = [(label, text.split(), key.split()) for label, text, key in templates]
     phrases = [p.split() for p in BASE]
     idf = rarity(rows, sorted({w for _, t, k in split for w in t + k} | {w for p in phrases for w in p}))
-    words, joined = F.col("words"), F.col("joined")
-    rows = rows.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
-    rows = rows.select("doc_id", "words", *[places(joined, words, p, idf).alias(f"b{i}") for i, p in enumerate(phrases)], *[places(joined, words, k, idf).alias(f"t{i}") for i, (_, _, k) in enumerate(split)])
+    words, posts = F.col("words"), F.col("posts")
+    anchors = sorted({p[i] for p in [*phrases, *[k for _, _, k in split]] for i in anchors_of(p, idf)})
+    rows = rows.withColumn("posts", postings(words, anchors))
+    rows = rows.select("doc_id", "words", *[places(posts, words, p, idf).alias(f"b{i}") for i, p in enumerate(phrases)], *[places(posts, words, k, idf).alias(f"t{i}") for i, (_, _, k) in enumerate(split)])
     covers = []
     for i, (label, text, key) in enumerate(split):
         shift = next(j for j in range(len(text)) if text[j : j + len(key)] == key)
@@ -100,6 +110,7 @@ def scan(docs: DataFrame, templates=tuple(TEMPLATES)) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, labels and best cover of every document."""
     rows = scan(common.table(spark, sf_dir, "documents"))
     every = F.flatten("base")
     labels = F.array(*[F.when(F.size(F.get("base", F.lit(i))) > 0, F.lit(label)) for i, label in enumerate(BASE.values())])
