@@ -2,6 +2,8 @@
 
 import gzip
 
+import pytest
+
 from traitloom.plans import fixtures
 from traitloom.sources import readers, writers
 
@@ -73,3 +75,37 @@ def test_partitioned_calls_and_protein(spark, tmp_path):
     empty = calls.limit(0)
     writers.write_table(empty.coalesce(1), f"{tmp_path}/none")
     assert readers.tsv(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_calls_by_header_and_checks(spark, tmp_path):
+    (tmp_path / "b.bed").write_text("#chrom\tcov\tnote\tbegin\tend\ttype\tmod_score\nchr1\t11\tx\t5\t6\ttotal\t12.5\n")
+    assert [tuple(r) for r in readers.scan_calls(spark, str(tmp_path / "b.bed")).collect()] == [("chr1", 5, 6, 12.5, "total", 11.0)]
+    (tmp_path / "c.bed").write_text("#chrom\tbegin\tend\nchr1\t5\t6\n")
+    with pytest.raises(ValueError, match="mod_score"):
+        readers.scan_calls(spark, str(tmp_path / "c.bed"))
+    (tmp_path / "twice.tsv").write_text("sample_id\tfile_path\na\tx\na\ty\n")
+    with pytest.raises(ValueError, match="repeated"):
+        readers.scan_manifest(spark, f"{tmp_path}/twice.tsv")
+    (tmp_path / "paths").write_text("/a\n\n /b \n")
+    (tmp_path / "none").write_text("\n")
+    assert sorted(r.file_path for r in readers.scan_path_list(spark, f"{tmp_path}/paths").collect()) == ["/a", "/b"]
+    with pytest.raises(ValueError, match="no paths"):
+        readers.scan_path_list(spark, f"{tmp_path}/none")
+
+
+def test_ranges_names_and_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from traitloom.functions.stats import number_text
+    from traitloom.operators import covariates, expect
+
+    expect.require_range("fraction", 0.5, 0, 1)
+    for bad in (1.5, -1, float("nan")):
+        with pytest.raises(ValueError, match="fraction"):
+            expect.require_range("fraction", bad, 0, 1)
+    with pytest.raises(ValueError, match="none is left"):
+        expect.require_some(spark.range(0), "samples")
+    expect.require_some(spark.range(1), "samples")
+    assert covariates.unique_names(["a b", "a.b", "a b", "1x", "_y"]) == ["a.b", "a.b.1", "a.b.2", "X1x", "X_y"]
+    frame = spark.createDataFrame([(1.5,), (None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    assert [r.t for r in frame.select(number_text(F.col("x")).alias("t")).collect()] == ["1.5", "NA", "NA", "Inf", "-Inf"]

@@ -73,3 +73,9 @@ def normal_scores(value: str, *within: str, offset: float = 0.5) -> Column:
 def centred(value: Column, within: WindowSpec) -> Column:
     """Value less its mean, over its sample deviation; null where the deviation is zero or undefined."""
     return F.try_divide(value - F.avg(value).over(within), F.when(F.stddev_samp(value).over(within) > 0, F.stddev_samp(value).over(within)))
+
+
+def number_text(x: Column) -> Column:
+    """A double as text of the tables: NA for null and not-a-number, Inf and -Inf for the infinite."""
+    inf = float("inf")
+    return F.when(x.isNull() | F.isnan(x), "NA").when(x == inf, "Inf").when(x == -inf, "-Inf").otherwise(x.cast("string"))

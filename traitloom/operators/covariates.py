@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,18 @@ def to_long(table: DataFrame, key: str = "sample_id") -> DataFrame:
 def covariate_matrix(table: DataFrame, samples: list[str], key: str = "sample_id") -> DataFrame:
     """Covariates as rows (ID), samples as columns in the given order."""
     return to_long(table, key).groupBy("ID").pivot(key, samples).agg(F.first("value"))
+
+
+def unique_names(names: list[str]) -> list[str]:
+    """Covariate names as syntactic and unique ones: other characters become dots, a leading digit gets an X, repeats a number."""
+    clean = [re.sub(r"[^A-Za-z0-9._]", ".", n) for n in names]
+    clean = [n if re.match(r"[A-Za-z]|\.(?![0-9])", n) else f"X{n}" for n in clean]
+    taken, out = set(clean), []
+    for i, n in enumerate(clean):
+        new, k = n, 0
+        while n in clean[:i] and (new in taken or new == n):
+            k += 1
+            new = f"{n}.{k}"
+        taken.add(new)
+        out.append(new)
+    return out

@@ -70,3 +70,15 @@ def unsorted_rows(df: DataFrame, order: list[str], group: str, position: str) ->
 
 def sites_without_values(grid: DataFrame) -> DataFrame:
     return grid.groupBy("site_key").agg(F.count("value").alias("n")).where("n = 0")
+
+
+def require_range(name: str, value: float, low: float | None = None, high: float | None = None) -> None:
+    """A parameter within [low, high]; not a number is outside."""
+    if not (low is None or value >= low) or not (high is None or value <= high) or value != value:
+        raise ValueError(f"{name} is {value}, outside [{low}, {high}]")
+
+
+def require_some(df: DataFrame, what: str) -> None:
+    """At least one row: not every sample, site or feature may be removed."""
+    if df.isEmpty():
+        raise ValueError(f"{what}: none is left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import expect
+
 CALLS = "chrom string, begin_pos long, end_pos long, mod_score double, type string, cov double"
 CCRES = "chrom string, ccre_begin long, ccre_end long, ccre_v4_id string, ccre_v5_id string, ccre_type string"
 ISLANDS = "bin int, chrom string, chrom_start long, chrom_end long, name string, length int, cpg_num int, gc_num int, per_cpg double, per_gc double, obs_exp double"
@@ -19,14 +21,35 @@ def tsv(spark: SparkSession, paths, schema: str | None = None, header: bool = Tr
 
 
 def scan_calls(spark: SparkSession, paths) -> DataFrame:
-    """Call BED files: comment lines start with #, as does the header; extra columns are dropped."""
-    return tsv(spark, paths, CALLS + ", extra1 string, extra2 string, extra3 string", header=False, comment="#").drop("extra1", "extra2", "extra3")
+    """Call BED files: the six columns by the names of the header (#chrom, begin, end, mod_score, type, cov), in whatever order and
+    among whatever others; comment lines start with #. Files without a header hold the six first."""
+    wanted = dict(c.split() for c in CALLS.split(", "))
+    head = spark.read.text(paths).where(F.col("value").startswith("#chrom\t")).limit(1).collect()
+    rename = {"begin": "begin_pos", "end": "end_pos"}
+    if head:
+        names = [rename.get(n, n) for n in head[0]["value"][1:].split("\t")]
+        if lacking := [n for n in wanted if n not in names]:
+            raise ValueError(f"call files lack columns: {lacking}")
+    else:
+        names = [*wanted, "extra1", "extra2", "extra3"]
+    schema = ", ".join(f"`{n}` {wanted.get(n, 'string')}" for n in names)
+    return tsv(spark, paths, schema, header=False, comment="#").select(*wanted)
+
+
+def scan_path_list(spark: SparkSession, path: str) -> DataFrame:
+    """file_path: one path a line; blank lines are dropped, and a list without any is an error."""
+    rows = spark.read.text(path).select(F.trim("value").alias("file_path")).where("file_path <> ''")
+    if rows.isEmpty():
+        raise ValueError(f"{path} lists no paths")
+    return rows
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """sample_id and file_path; relative paths count from the manifest's folder."""
+    """sample_id and file_path; relative paths count from the manifest's folder. Blank or repeated sample ids are errors."""
     folder = path.rsplit("/", 1)[0]
     rows = tsv(spark, path, "sample_id string, file_path string")
+    expect.require(expect.blank_keys(rows, "sample_id"), "blank sample ids in the manifest")
+    expect.require(expect.repeated_keys(rows, "sample_id"), "repeated sample ids in the manifest")
     return rows.withColumn("file_path", F.when(F.col("file_path").rlike("^(/|[a-z0-9]+:)"), F.col("file_path")).otherwise(F.concat(F.lit(folder + "/"), "file_path")))
 
 
@@ -37,8 +60,11 @@ def scan_cohort_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_gct(spark: SparkSession, path: str, samples: list[str] | None = None) -> DataFrame:
-    """Long counts of a GCT file: its third line is the header. Lines are told apart by their fields."""
-    head = [r.value for r in spark.read.text(path).limit(3).collect()][2].split("\t")
+    """Long counts of a GCT file: its header line starts with Name and Description. Lines are told apart by their fields."""
+    found = spark.read.text(path).where(F.col("value").startswith("Name\tDescription\t")).limit(1).collect()
+    if not found:
+        raise ValueError(f"{path}: no header line of a GCT file")
+    head = found[0]["value"].split("\t")
     rows = spark.read.text(path).select(F.split("value", "\t", -1).alias("x")).where((F.size("x") == len(head)) & (F.get("x", F.lit(0)) != head[0]))
     wanted = [(i, s) for i, s in enumerate(head) if i > 1 and (samples is None or s in samples)]
     cells = F.explode(F.array(*[F.struct(F.lit(s).alias("sample_id"), F.get("x", F.lit(i)).cast("double").alias("cnt")) for i, s in wanted]))
