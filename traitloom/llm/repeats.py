@@ -415,5 +415,6 @@ def cut_repeats(docs: DataFrame, kept: bool = True, classes: int = CLASSES) -> D
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a 100-byte string covers which also starts earlier, taken out."""
     cut = cut_repeats(common.table(spark, sf_dir, "documents"), kept=False)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -324,6 +324,7 @@ def read_pages(media: DataFrame, keep: list[str], samples: bool = True) -> DataF
 
 
 def op9_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the samples of a grey page: written, read back, and its features."""
     media = store_texts(common.table(spark, sf_dir, "documents"))
     pages = read_pages(media, ["doc_id", "n_bytes", "payload_bytes"], samples=False)
     return pages.selectExpr(
