@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: bytes.translate table: A-Z to a-z, nothing else.
@@ -53,6 +53,21 @@ def lower_ascii(col):
     return F.translate(col, UPPER, LOWER)
 
 
+#: Groups into which each ranking is dealt before its best rows meet.
+DEALT = 64
+
+
+def top_ranked(df: DataFrame, by: list[str], order: list[Column], top: int, spread: Column, dealt: int = DEALT) -> DataFrame:
+    """df's first `top` rows of each group in order, with rank from 1. A group is dealt out by spread first (with dealt 1 not: for
+    groups of bounded size), so one that holds most rows is ranked by many tasks, and only the best of each meet. A null is a
+    group like any other."""
+    some = df
+    if dealt > 1:
+        first = F.row_number().over(Window.partitionBy(*by, "__deal").orderBy(*order))
+        some = df.withColumn("__deal", F.pmod(F.xxhash64(spread), F.lit(dealt))).withColumn("__first", first).where(F.col("__first") <= top).drop("__deal", "__first")
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= top)
+
+
 def components(edges: DataFrame, tag: str = "components", max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), component being the least node reached.
 
