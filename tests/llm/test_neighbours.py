@@ -102,3 +102,16 @@ def test_empty(spark):
     none = frame(spark, []).limit(0)
     assert neighbours.nearest_neighbours(none).count() == 0
     assert neighbours.nearest_neighbours(frame(spark, [(1, [1.0]), (2, None)])).count() == 0
+
+
+def test_shards_over_many_partitions(spark):
+    """Both sides of a shard meet whatever partition its key hashes to."""
+    rows = clustered(600, 6)
+    set_ = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert told(neighbours.nearest_neighbours(frame(spark, rows), 20, 5, shard=64)) == brute(rows, 20, 5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", set_[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", set_[1])

@@ -214,7 +214,7 @@ class _Index:
         routed = common.stash(routed, "neighbours-routed")
         asked = routed.groupBy("cell", "deal").agg(F.count(F.lit(1)).alias("asked"))
         blocks = F.ceil(F.col("asked") / QUERIES).cast("int")
-        routed = routed.join(asked, ["cell", "deal"]).withColumn("block", F.pmod(F.xxhash64("query"), blocks)).drop("asked")
+        routed = routed.join(asked, ["cell", "deal"]).withColumn("block", F.pmod(F.xxhash64("query"), blocks).cast("int")).drop("asked")
         points = self.shards.join(asked, ["cell", "deal"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("asked")
         key = ["cell", "deal", "block"]
         schema = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
