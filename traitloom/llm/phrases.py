@@ -43,12 +43,39 @@ class Chunk:
         seeds = np.array([xxhash.xxh3_64_intdigest(x, 1) for x in self.langs], np.uint64)
         with np.errstate(over="ignore"):
             one = (hashes[self.ids] ^ seeds[self.lang]) * _ODD
-            one ^= one >> np.uint64(29)
-            two = (one[:-1] * _ODD2 + one[1:]) * _ODD
-            two = np.append(two ^ (two >> np.uint64(31)), np.uint64(0))
-        shift = np.uint64(64 - bits)
-        #: bucket of each word, and of it with the next one (of no meaning at the end of a piece)
-        self.one, self.two = (one * _ODD2 >> shift).astype(np.uint32), (two * _ODD >> shift).astype(np.uint32)
+            self.one = one ^ (one >> np.uint64(29))
+        self.shift = np.uint64(64 - bits)
+
+    def buckets(self, order: int) -> np.ndarray:
+        """The bucket of the words from each place on, as many as order says; of no meaning where the piece ends before."""
+        n = len(self.one)
+        key = self.one.copy()
+        with np.errstate(over="ignore"):
+            for k in range(1, min(order, n)):
+                key[: n - k] = (key[: n - k] * _ODD2 + self.one[k:]) * _ODD
+                key ^= key >> np.uint64(31)
+            return (key * _ODD2 + np.uint64(order) * _ODD >> self.shift).astype(np.uint32)
+
+    def runs(self, joined: np.ndarray, order: int) -> np.ndarray:
+        """Whether all words of that order from each place on are joined to the next (joined: place by place)."""
+        n = len(joined)
+        out = np.ones(n, bool)
+        ahead = np.append(joined, np.zeros(order, bool))
+        for k in range(order - 1):
+            out &= ahead[k : k + n]
+        return out
+
+
+def in_bitmap(bitmap: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    return (bitmap[bucket >> np.uint32(3)] >> (bucket & np.uint32(7)).astype(np.uint8)) & 1 > 0
+
+
+def links(chunk: Chunk, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By the bitmap of words and pairs: which words may be frequent, and which may be so together with the next one of their piece."""
+    known = in_bitmap(short, chunk.buckets(1))
+    link = chunk.inner & known & in_bitmap(short, chunk.buckets(2))
+    link[:-1] &= known[1:]
+    return known, link
 
 
 def chunks(batches, bits: int = BUCKET_BITS, most: int = CHUNK) -> Iterator[Chunk]:
@@ -72,21 +99,30 @@ def chunks(batches, bits: int = BUCKET_BITS, most: int = CHUNK) -> Iterator[Chun
         yield Chunk(words, sizes, owners, bits)
 
 
-def frequent_buckets(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS) -> bytes:
-    """A bitmap of the buckets in which words, or pairs of words, of one language stand min_count times or more.
+def frequent_buckets(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS, short: bytes | None = None) -> bytes:
+    """A bitmap of the buckets in which words and pairs of words of one language stand min_count times or more; with the bitmap of
+    these (short), one of the buckets of three to five words, of which only those along frequent pairs are counted.
 
-    A phrase is never more frequent than its words and pairs, so what is left out here can't be part of a frequent phrase; what
-    shares a bucket stays and is counted. Tasks send saturated counters, compressed, and those of a part of the buckets are
-    added up where they meet: neither the counters of a task nor the bitmap grow with the input.
+    A phrase is never more frequent than its parts, so what is left out here can't be part of a frequent phrase; what shares a bucket
+    stays and is counted exactly later. Tasks send saturated counters, compressed, and those of a part of the buckets are added up
+    where they meet: neither the counters of a task nor the bitmap grow with the input. On inputs whose words and pairs fill
+    the buckets (some 30 GB of text for 2**26), less and less is left out and windows cost what they do without a filter.
     """
     kind = np.uint8 if min_count < 256 else np.uint32
     width = 1 << PART_BITS
     parts = 1 << (bits - PART_BITS)
+    sent = docs.sparkSession.sparkContext.broadcast(short) if short else None
 
     def count(batches):
         counters = np.zeros(1 << bits, kind)
+        told = np.frombuffer(sent.value, np.uint8) if sent else None
         for chunk in chunks(batches, bits):
-            bucket, n = np.unique(np.concatenate([chunk.one, chunk.two[chunk.inner]]), return_counts=True)
+            if told is None:
+                found = [chunk.buckets(1), chunk.buckets(2)[chunk.inner]]
+            else:
+                link = links(chunk, told)[1]
+                found = [chunk.buckets(k)[chunk.runs(link, k)] for k in range(3, ORDER + 1)]
+            bucket, n = np.unique(np.concatenate(found), return_counts=True)
             counters[bucket] = np.minimum(counters[bucket].astype(np.int64) + n, min_count)
         pack = zstandard.ZstdCompressor(level=1).compress
         some = np.flatnonzero(counters.reshape(parts, width).any(1))
@@ -123,27 +159,23 @@ def _distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], n
 
 def windows(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS) -> DataFrame:
     """(lang, w0 to w4, c): every word of docs (text, lang) begins one window, which is padded with '' where its piece ends or
-    where the next word or pair can't be frequent; c counts equal windows of a task. Of a word that can't be frequent only the
-    count is kept, in a window of pads."""
+    where with the next word it can't be frequent; c counts equal windows of a chunk of text. Of a word that can't be frequent
+    only the count is kept, in a window of pads."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(frequent_buckets(docs, min_count, bits))
+    short = frequent_buckets(docs, min_count, bits)
+    sent = spark.sparkContext.broadcast((short, frequent_buckets(docs, min_count, bits, short)))
 
     def look(batches):
-        bitmap = np.frombuffer(sent.value, np.uint8)
-
-        def frequent(bucket: np.ndarray) -> np.ndarray:
-            return (bitmap[bucket >> np.uint32(3)] >> (bucket & np.uint32(7)).astype(np.uint8)) & 1 > 0
-
+        short, long = (np.frombuffer(x, np.uint8) for x in sent.value)
         for chunk in chunks(batches, bits):
             n, size = len(chunk.ids), len(chunk.words)
-            known = frequent(chunk.one)
-            link = chunk.inner & known & frequent(chunk.two)
-            link[:-1] &= known[1:]
-            ahead, joined = np.append(chunk.ids, np.full(ORDER, -1)), np.append(link, np.zeros(ORDER, bool))
+            known, link = links(chunk, short)
+            ahead = np.append(chunk.ids, np.full(ORDER, -1))
             follows, columns = link, [chunk.lang, chunk.ids]
             for j in range(1, ORDER):
                 columns.append(np.where(follows, ahead[j : j + n], -1))
-                follows = follows & joined[j : j + n]
+                if j + 1 < ORDER:
+                    follows = follows & chunk.runs(link, j + 2) & in_bitmap(long, chunk.buckets(j + 2))
             base = np.full(n, -1)
             rare, alone = [chunk.lang[~known]], [c[known & ~link] for c in columns[:2]]
             for rows in (rare, alone, [c[link] for c in columns]):
