@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import numpy as np
+
 from traitloom.llm import decontaminate
 
 from .conftest import SF
@@ -67,3 +69,15 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     same(decontaminate.decontaminate(odd, bench), brute(rows, items))
     assert decontaminate.decontaminate(empty, bench).count() == 0
     same(decontaminate.decontaminate(odd, bench.limit(0)), brute(rows, []))
+
+
+def test_a_block_of_very_many_words():
+    """Three million distinct words: codes of shingles wrap around and every window is still found, and no other."""
+    words = [f"{i:x}" for i in range(3_000_000)]
+    index = decontaminate.Windows([("a", " ".join(words).encode())])
+    index.windows, index.owners = index.windows[-2_000:], index.owners[-2_000:]  # the ids of which pass 64 bits as digits
+    index.codes = np.unique(np.array([c for w in index.windows for c in index._shingles(w)], dtype=np.int64))
+    index.rarity({})
+    ids, starts = index.read([" ".join([*words[-15:], "zz", *words[:9]]).encode(), None])
+    at, window = index.search(ids, starts)
+    assert sorted(at.tolist()) == list(range(6)) and len(set(window.tolist())) == 6

@@ -84,3 +84,34 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert len(rows) == 12 and {1, 2, 3, 10} <= und and all(math.isfinite(r.score) for r in rows)
     assert langid.fit(empty) == () and langid.identify(empty, sample).count() == 0
     assert {r.lang_pred for r in langid.identify(odd, ()).collect()} == {"und"}
+
+
+def test_periodic_texts_take_linear_time():
+    """Runs and repeated patterns, whose blocks never settle, give the phrases of one parse and don't grow with the square."""
+    import time
+
+    import numpy as np
+
+    model = langid.Models((("x", "abracadabra alakazam aaa aab baa hokus pokus"), ("y", "the quick brown fox aaaaa zaz")))
+
+    def straight(codes, k):
+        table, own, state, n = model.tables[k], model.own[k], 0, 0
+        for c in own[codes]:
+            entry = int(table[state + c])
+            n, state = n + (entry & 3), entry >> 2
+        return n + (state != 0)
+
+    rng = np.random.default_rng(1)
+    texts = ["a" * 20_000, "abrac" * 5_000, "za" * 9_000 + "the fox " * 2_000, "".join(rng.choice(list("abz "), 30_000)), "aab " * 7_777, "a"]
+    codes = [model.codes(t) for t in texts]
+    assert model.phrases(codes).tolist() == [[straight(c, k) for k in range(2)] for c in codes]
+    began = time.time()
+    model.phrases([model.codes("a" * 5_000_000), model.codes("abra cad " * 300_000)])
+    assert time.time() - began < 20
+
+
+def test_tables_share_one_budget(monkeypatch):
+    """Many languages of large alphabets: all tables together stay within the budget."""
+    monkeypatch.setattr(langid, "TABLE_BYTES", 4 << 20)
+    sample = tuple((f"l{i}", "".join(chr(0x4E00 + (i * 97 + j * j) % 900) for j in range(2_000))) for i in range(10))
+    assert sum(t.nbytes for t in langid.Models(sample).tables) <= 4 << 20

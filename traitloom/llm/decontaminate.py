@@ -37,7 +37,8 @@ class Windows:
         self.base = len(self.vocab) + 1
         self.shingle = shingle
         self.sizes = {min(shingle, len(w)) for w in found}
-        # A shingle's code holds its ids plus one as digits, so codes of different lengths differ.
+        # A shingle's code holds its ids plus one as digits; of over two million words it wraps around, and codes that meet then
+        # only make more places to verify.
         self.codes = np.unique(np.array([c for w in self.windows for c in self._shingles(w)], dtype=np.int64))
 
     def _shingles(self, window: tuple[int, ...]) -> list[int]:
@@ -46,7 +47,7 @@ class Windows:
             code = 0
             for x in window[at : at + k]:
                 code = code * self.base + x + 1
-            out.append(code)
+            out.append((code + (1 << 63)) % (1 << 64) - (1 << 63))
         return out
 
     def rarity(self, documents: dict[int, int]) -> Windows:

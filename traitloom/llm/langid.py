@@ -16,11 +16,14 @@ from . import common
 #: Bounds of the labelled sample that the models are fitted on: documents a language, characters that are read of
 #: each, characters of normalised text a language.
 SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 256, 4_096, 49_152
-#: Bytes of a language's table of moves at most; a language of very many letters learns from fewer characters.
+#: Bytes of all languages' tables of moves together at most, in equal parts; a language of very many letters learns from fewer characters.
 TABLE_BYTES = 256 << 20
 #: Texts are cut into so many characters that are parsed side by side, and again from where the cut before them ended, until
-#: that is where they began; the phrases are those of parsing each text in one go.
-BLOCK = 512
+#: that is where they began; the phrases are those of parsing each text in one go. What has not settled after so many rounds
+#: (repeated patterns may never) is parsed block after block, equal blocks entered alike only once.
+BLOCK, TURNS = 512, 6
+#: Blocks that are remembered so.
+REMEMBERED = 4_096
 SPACE, UNSEEN = 0, 1
 UNDETERMINED = "und"
 
@@ -75,7 +78,7 @@ class Models:
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
         self.langs = [lang for lang, _ in sample]
-        texts = [self._bounded(text) for _, text in sample]
+        texts = [self._bounded(text, TABLE_BYTES // max(1, len(sample))) for _, text in sample]
         alphabet = sorted({c for text in texts for c in text} - {" "})
         code = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": SPACE}
         self.classes = _letters().astype(np.uint16)  # UNSEEN for letters, SPACE for the rest
@@ -105,9 +108,9 @@ class Models:
             self.bits.append(math.log2(len(text) + 2))
 
     @staticmethod
-    def _bounded(text: str) -> str:
-        """The beginning of text whose table, of at most two states a character, fits TABLE_BYTES."""
-        while len(text) > 1 and 8 * (len(text) + 2) * (len(set(text)) + 2) > TABLE_BYTES:
+    def _bounded(text: str, most: int) -> str:
+        """The beginning of text whose table, of at most two states a character, fits into so many bytes."""
+        while len(text) > 1 and 8 * (len(text) + 2) * (len(set(text)) + 2) > most:
             text = text[: len(text) * 3 // 4]
         return text
 
@@ -117,6 +120,25 @@ class Models:
         found = np.concatenate([[SPACE], found, [SPACE]]).astype(np.uint16)
         return found[np.concatenate([[True], (found[1:] != SPACE) | (found[:-1] != SPACE)])]
 
+    @staticmethod
+    def _in_turn(table: np.ndarray, lanes: np.ndarray, length: np.ndarray, state: int) -> tuple[np.ndarray, int]:
+        """Phrases that end in each of a text's blocks, one after another, and the state after the last."""
+        counts, known, move = np.zeros(len(lanes), np.int64), {}, table.item
+        for k, n in enumerate(length):
+            block = lanes[k, :n]
+            key = block.tobytes(), state
+            if key not in known:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                ends = 0
+                for c in block.tolist():
+                    entry = move(state + c)
+                    ends += entry & 3
+                    state = entry >> 2
+                known[key] = ends, state
+            counts[k], state = known[key]
+        return counts, state
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """(texts, languages): phrases of each text when parsed against each language."""
         sizes = np.array([len(t) for t in texts])
@@ -138,7 +160,16 @@ class Models:
         for k, table in enumerate(self.tables):
             begin, end, count = (np.zeros(len(order), np.int64) for _ in range(3))
             todo, own = np.arange(len(order)), self.own[k][steps]
+            turn = 0
             while len(todo):
+                turn += 1
+                if turn > TURNS:
+                    # blocks of a text lie one after another in lanes, and place says where they are now
+                    for text in np.unique(owner[order[todo]]):
+                        at = order[todo[owner[order[todo]] == text]].min()
+                        blocks_of = place[at : np.searchsorted(owner, text, side="right")]
+                        count[blocks_of], end[blocks_of[-1]] = self._in_turn(table, own[:, blocks_of].T, length[blocks_of], int(begin[place[at]]))
+                    break
                 some = own if len(todo) == len(order) else own[:, todo]
                 open_at = np.searchsorted(-length[todo], -np.arange(BLOCK), side="left")  # blocks longer than the step
                 state, ends = begin[todo].astype(table.dtype), np.zeros(len(todo), np.int64)
