@@ -22,6 +22,8 @@ BUCKET_BITS, PART_BITS = 26, 15
 CHUNK = 4 << 20
 _LOWER = {b: b + 32 for b in range(65, 91)}
 _CUT = dict.fromkeys(b".,;:!?\x0b\x0c\r", 10)
+#: Windows that a task holds before it adds up equal ones.
+HELD = 1 << 20
 #: bytes.translate table: A-Z to a-z, the ends of pieces to a line feed, a tab to a space.
 PIECES = bytes((_LOWER | _CUT | {9: 32}).get(b, b) for b in range(256))
 _ODD, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -159,13 +161,30 @@ def _distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], n
 
 def windows(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS) -> DataFrame:
     """(lang, w0 to w4, c): every word of docs (text, lang) begins one window, which is padded with '' where its piece ends or
-    where with the next word it can't be frequent; c counts equal windows of a chunk of text. Of a word that can't be frequent
+    where with the next word it can't be frequent; c counts equal windows of a task. Of a word that can't be frequent
     only the count is kept, in a window of pads."""
     spark = docs.sparkSession
     short = frequent_buckets(docs, min_count, bits)
     sent = spark.sparkContext.broadcast((short, frequent_buckets(docs, min_count, bits, short)))
 
     def look(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in some_windows(batches):
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= HELD:
+                held = added(held)
+                if sum(b.num_rows for b in held) > HELD // 2:
+                    yield from held
+                    held = []
+        yield from added(held)
+
+    def added(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        if not held:
+            return held
+        sums = pa.Table.from_batches(held).group_by(["lang", *WORDS], use_threads=False).aggregate([("c", "sum")])
+        return sums.rename_columns([{"c_sum": "c"}.get(n, n) for n in sums.column_names]).select(["lang", *WORDS, "c"]).to_batches()
+
+    def some_windows(batches):
         short, long = (np.frombuffer(x, np.uint8) for x in sent.value)
         for chunk in chunks(batches, bits):
             n, size = len(chunk.ids), len(chunk.words)
