@@ -75,7 +75,7 @@ def test_residuals(spark):
     x = rng.normal(size=(20, 9))
     x[4, 2] = np.nan
     x[5, 1:] = np.nan
-    design = linalg.design_matrix(pd.DataFrame({"a": rng.normal(size=9), "b": list("uvwuvwuvw")}))
+    design = linalg.model_matrix(pd.DataFrame({"a": rng.normal(size=9), "b": list("uvwuvwuvw")}))
     assert design.shape == (9, 4)
     got = {r.feature_id: r.vec for r in linalg.residualize(vector_frame(spark, x), design).collect()}
     for i, row in enumerate(x):
@@ -86,9 +86,44 @@ def test_residuals(spark):
         want = row[seen] - design[seen] @ np.linalg.lstsq(design[seen], row[seen], rcond=None)[0]
         assert [v for v in got[i] if v is not None] == pytest.approx(want, abs=1e-9) and (got[i][2] is None) == (i == 4)
     with pytest.raises(ValueError):
-        linalg.design_matrix(pd.DataFrame({"a": [1.0, None]}))
-    with pytest.raises(ValueError):
-        linalg.design_matrix(pd.DataFrame({"a": [1.0, 2.0]}))
+        linalg.model_matrix(pd.DataFrame({"a": [1.0, 2.0]}))
+
+
+def test_samples_are_reconciled():
+    """Samples without covariates, or with an incomplete row of them, go; the others keep their order; text is a factor."""
+    table = pd.DataFrame({"age": ["30", "41", None, "52", "63", "29"], "site": list("xyxyxz")}, index=list("abcdef"))
+    kept, design = linalg.reconcile(["f", "q", "a", "b", "c", "d", "e"], table)
+    assert kept == ["f", "a", "b", "d", "e"] and design.shape == (5, 4)
+    assert design[:, 1].tolist() == [29, 30, 41, 52, 63] and design[:, 3].tolist() == [1, 0, 0, 0, 0]
+    with pytest.raises(ValueError, match="no sample"):
+        linalg.reconcile(["q"], table)
+    whole, complete = linalg.design_matrix(pd.DataFrame({"a": [1.0, None, 3.0, 5.0]}))
+    assert whole[:, 1].tolist() == [1, 3, 5] and complete.tolist() == [True, False, True, True]
+
+
+def test_residuals_by_pattern_of_missing_samples(spark):
+    """Rows that lack the same samples share a factorisation; patterns beyond what a task remembers are worked out again."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 12))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[0] = np.nan
+    design = linalg.model_matrix(pd.DataFrame({"a": rng.normal(size=12), "b": np.arange(12) % 2}))
+    got = {r.feature_id: r.vec for r in linalg.residualize(vector_frame(spark, x).repartition(3), design).collect()}
+    for i, row in enumerate(x):
+        seen = ~np.isnan(row)
+        if seen.sum() <= (np.linalg.matrix_rank(design[seen]) if seen.any() else 0):
+            assert all(v is None for v in got[i])
+            continue
+        want = row[seen] - design[seen] @ np.linalg.lstsq(design[seen], row[seen], rcond=None)[0]
+        assert [v for v in got[i] if v is not None] == pytest.approx(want, abs=1e-9) and [v is not None for v in got[i]] == seen.tolist()
+
+
+def test_scaled_rows(spark):
+    x = np.array([[1.0, 2.0, np.nan, 6.0], [3.0, 3.0, 3.0, 3.0], [np.nan, np.nan, np.nan, 1.0], [np.nan] * 4])
+    got = {r.feature_id: r.vec for r in linalg.scale_rows(vector_frame(spark, x)).collect()}
+    y = x[0, [0, 1, 3]]
+    assert [got[0][k] for k in (0, 1, 3)] == pytest.approx((y - y.mean()) / y.std(ddof=1)) and got[0][2] is None
+    assert all(v is None for i in (1, 2, 3) for v in got[i])
 
 
 def test_components_of_samples(spark):
@@ -102,6 +137,191 @@ def test_components_of_samples(spark):
     assert linalg.pcs_frame(vector_frame(spark, x), scores, list("abcdefgh"), 2).columns == ["ID", "PC1", "PC2"]
 
 
+def test_random_components(spark):
+    """Subspace iteration gives the leading components of the Gram matrix."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 5)) @ np.diag([9, 7, 5, 4, 3]) @ rng.normal(size=(5, 40)) + rng.normal(size=(400, 40)) * 0.5
+    frame = vector_frame(spark, x).repartition(3)
+    scores, deviations = linalg.principal_components(frame, 40)
+    some, fewer = linalg.random_components(frame, 40, 5)
+    assert fewer == pytest.approx(deviations[:5], rel=1e-6) and some == pytest.approx(scores[:, :5], abs=1e-3 * np.abs(scores).max())
+
+
+def test_sums_in_parts(spark, monkeypatch):
+    """Arrays larger than a part are put together again."""
+    x = np.random.default_rng(7).normal(size=(50, 30))
+    monkeypatch.setattr(linalg, "PART", 64)
+    assert linalg.added_up(vector_frame(spark, x).repartition(5), (30, 30), lambda v: v.T @ v) == pytest.approx(x.T @ x)
+
+
+def test_registered_components(spark):
+    """The queries of components, whole: all of L05's and X11's rows, and both tables of K05, against NumPy."""
+    from traitloom.plans import pipelines, queries
+
+    sf = "/root/testdata/sf0.001"
+    rows = [r["embedding"] for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("embedding").collect()]
+    x = np.array(rows, float)
+    centred = (x - x.mean(1, keepdims=True)).T
+    u, s, _ = np.linalg.svd(centred, full_matrices=False)
+    want = u * s
+    want *= np.sign(want[np.abs(want).argmax(0), np.arange(want.shape[1])])
+    chosen = queries.QUERIES["X11_phenotype_pcs"](spark, sf).orderBy("ID").toPandas()
+    n = chosen.shape[1] - 1
+    assert n == max(1, linalg.component_count(s / np.sqrt(len(want) - 1), len(want), len(x)))
+    names = [f"S{i:02d}" for i in range(len(want))]
+    assert chosen["ID"].tolist() == names and chosen.iloc[:, 1:].to_numpy() == pytest.approx(want[:, :n], abs=1e-5)
+    assert queries.QUERIES["L05_pca"](spark, sf).orderBy("ID").toPandas().iloc[:, 1:].to_numpy() == pytest.approx(want[:, :3], abs=1e-5)
+    written = queries.QUERIES["K05_write_pcs"](spark, sf).toPandas()
+    every = written[written["kind"] == "all"].pivot(index="ID", columns="pc", values="value")
+    last = want.shape[1] - 1  # features are centred over samples, so the last component is nothing
+    assert every[[f"PC{k + 1}" for k in range(last)]].to_numpy() == pytest.approx(want[:, :last], abs=1e-4)
+    assert written[written["kind"] == "chosen"]["pc"].nunique() == n and every.shape == want.shape
+    assert pipelines.phenotype_pcs
+
+
+def test_missing_values_are_left_out_pair_by_pair(spark):
+    """Biweight correlation over the features that both samples have, blocks of samples meeting."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 9)) + rng.normal(size=(60, 1))
+    x[rng.random(x.shape) < 0.15] = np.nan
+    x[:, 8] = np.where(np.isnan(x[:, 8]), np.nan, 2.0)  # no variance: correlates with nothing
+    want = np.zeros(9)
+    for i in range(9):
+        for j in range(9):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = x[both, i], x[both, j]
+            pair = []
+            for v in (a, b):
+                d = v - np.median(v)
+                mad = np.median(np.abs(d))
+                w = v - v.mean() if mad == 0 else d * (1 - (d / (9 * mad)) ** 2) ** 2 * (np.abs(d / (9 * mad)) < 1)
+                pair.append(w)
+            length = np.sqrt((pair[0] ** 2).sum() * (pair[1] ** 2).sum())
+            want[i] += (0.5 + 0.5 * (pair[0] @ pair[1]) / length if length > 0 else 0) if i != j else 0
+    rows = [(f, s, None if np.isnan(x[f, s]) else float(x[f, s])) for f in range(60) for s in range(9)]
+    long = spark.createDataFrame(rows, "feature_id long, sample_id long, value double")
+    for size in (2, 32):
+        blocks = connectivity.BLOCK
+        connectivity.BLOCK = size
+        try:
+            got = {r.sample_id: r.connectivity for r in connectivity.connectivity(long).collect()}
+        finally:
+            connectivity.BLOCK = blocks
+        assert [got[i] for i in range(9)] == pytest.approx(want, abs=1e-9)
+
+
+def test_too_few_samples_or_features(spark):
+    for x in (np.arange(8.0).reshape(4, 2), np.vstack([np.ones((3, 4)), np.arange(4.0)])):
+        scored = connectivity.score_samples(long_matrix(spark, x)).collect()
+        assert all(r.pass_connectivity_filter and r.connectivity is None and r.method == connectivity.NOT_COMPUTED for r in scored) and len(scored) == x.shape[1]
+    same = np.repeat(np.random.default_rng(1).normal(size=(9, 1)), 4, axis=1) + np.array([0.0, 0.0, 0.0, 1e-13])
+    assert {r.pass_connectivity_filter for r in connectivity.score_samples(long_matrix(spark, same)).collect()} == {True}
+
+
+def test_quantiles_by_narrowing(spark):
+    """Exact for any number of values that one task may order, with ties, runs of one value, infinities of scale and single values."""
+    from traitloom.operators import ranks
+
+    rng = np.random.default_rng(9)
+    groups = {"a": rng.normal(size=5000), "b": np.round(rng.normal(size=4001), 1), "c": np.full(3000, 7.0), "d": np.array([3.0]), "e": np.concatenate([rng.normal(size=2000) * 1e-9, [1e12, -1e12]])}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("a", None), ("f", None)], "k string, v double")
+    for few, ranges in ((100, 16), (1_000_000, 16)):
+        got = {(r.k, r.p): r.quantile for r in ranks.quantiles(df, "k", "v", [0.0, 0.25, 0.5, 1.0], few, ranges).collect()}
+        assert set(got) == {(k, p) for k in groups for p in (0.0, 0.25, 0.5, 1.0)}
+        for (k, p), q in got.items():
+            assert q == pytest.approx(np.quantile(groups[k], p), rel=1e-12, abs=1e-18), (k, p)
+
+
+def test_scans_over_bins(spark):
+    """What is carried over empty and full bins equals one ordered pass."""
+    from traitloom.operators import ordered
+
+    rng = np.random.default_rng(10)
+    places = np.sort(rng.choice(3000, 200, replace=False))
+    rows = [("c1", int(p), i, float(rng.normal()) if rng.random() < 0.2 else None) for i, p in enumerate(places)] + [("c2", 5, 999, None)]
+    df = spark.createDataFrame(rows, "chrom string, at long, id long, mark double")
+    by = {}
+    last = None
+    most = None
+    for _, p, i, m in rows[:-1]:
+        last, most = (m, max(m, most if most is not None else m)) if m is not None else (last, most)
+        by[i] = [last, most]
+    nxt = None
+    for _, p, i, m in reversed(rows[:-1]):
+        nxt = m if m is not None else nxt
+        by[i].append(nxt)
+    for size in (16, 1 << 16):
+        got = {r.id: [r.before, r.most, r.after] for r in ordered.running_max(ordered.neighbours(df, "chrom", "at", "mark", size), "chrom", "at", F.col("mark"), "most", size).collect()}
+        assert got.pop(999) == [None, None, None] and got == by
+        jumps = np.cumsum(np.diff(places, prepend=places[0]) > 20)
+        assert [r.n for r in ordered.islands(df.where("chrom = 'c1'"), "chrom", "at", "id", 20, "n", size).orderBy("id").collect()] == jumps.tolist()
+    counts = {r.id: r.n for r in ordered.within_reach(df, "chrom", "at", 100, "n").collect()}
+    assert all(counts[i] == ((places >= p - 100) & (places <= p)).sum() for _, p, i, _ in rows[:-1])
+
+
+def test_one_long_contig_is_many_tasks(spark):
+    """Ten million rows of one contig: the scan is dealt out over its bins, and no task holds more than a few of them."""
+    from traitloom.operators import ordered
+
+    n = 10_000_000
+    df = spark.range(n).select(F.lit("c").alias("chrom"), F.col("id").alias("at"), F.when(F.col("id") % 1000 == 7, F.col("id")).alias("mark"))
+    set_ = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        told = ordered.neighbours(df, "chrom", "at", "mark")
+        right = F.coalesce(F.col("before"), F.lit(-1)) == F.when(F.col("at") >= 7, F.col("at") - (F.col("at") - 7) % 1000).otherwise(-1)
+        rows = told.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("ok")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", set_[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", set_[1])
+    assert sum(r.n for r in rows) == n and sum(r.ok for r in rows) == n and len(rows) >= 90 and max(r.n for r in rows) < n / 20
+
+
+def test_component_along_a_contig(spark):
+    """A chain of a million nodes is one component, found level by level; a gap in it makes two."""
+    n = 1_000_000
+    nodes = spark.range(n).select(F.lit("c").alias("chrom"), (F.col("id") * 500).alias("start_pos"), F.col("id").alias("feature_id"))
+    edges = nodes.where(F.col("feature_id") != 600_000).select("chrom", F.col("feature_id").alias("i"), (F.col("feature_id") + 1).alias("j"), F.col("start_pos").alias("start_i"), (F.col("start_pos") + 500).alias("start_j")).where(F.col("j") < n)
+    found = clusters.components(nodes, edges, 1000).groupBy("component").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert {r.component: r.n for r in found} == {0: 600_001, 600_001: n - 600_001}
+
+
+def test_components_in_small_bins(spark):
+    """Random local graphs: any width of the first bins gives the components of the whole."""
+    rng = np.random.default_rng(11)
+    places = np.sort(rng.integers(0, 20_000, 300))
+    pairs = [(int(a), int(b)) for a in range(300) for b in range(a + 1, 300) if places[b] - places[a] <= 200 and rng.random() < 0.25]
+    root = list(range(300))
+    for _ in range(300):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    nodes = spark.createDataFrame([("c", int(p), i) for i, p in enumerate(places)], "chrom string, start_pos long, feature_id long")
+    edges = spark.createDataFrame([("c", a, b, int(places[a]), int(places[b])) for a, b in pairs], "chrom string, i long, j long, start_i long, start_j long")
+    for width in (200, 4096, 1 << 20):
+        assert {r.feature_id: r.component for r in clusters.components(nodes, edges, 200, width).collect()} == {x: root[x] for pair in pairs for x in pair}
+    assert clusters.components(nodes, edges.limit(0), 200).count() == 0
+
+
+def test_annotation_plan_does_not_grow_with_labels(spark):
+    """One join of intervals whatever the labels: a bounded number of relations in the analysed plan."""
+    from traitloom.plans.queries import Data
+
+    d = Data(spark, "/root/testdata/sf0.001")
+    plan = intervals.annotate(d.spots, d.genes, d.islands, d.ccres, d.gene_parts)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [") <= 24
+
+
+def test_a_stage_that_is_whole_is_not_made_again(spark, tmp_path):
+    from traitloom.plans.pipelines import Stages
+
+    first = Stages(spark, f"file://{tmp_path}/run")
+    assert first("a", lambda: spark.range(3)).count() == 3 and first.made == ["a"]
+    (tmp_path / "run" / "b").mkdir()  # begun and not ended
+    again = Stages(spark, f"file://{tmp_path}/run")
+    assert again("a", lambda: spark.range(9)).count() == 3 and again("b", lambda: spark.range(4)).count() == 4 and again.made == ["b"]
+
+
 def test_clusters(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(12, 6))

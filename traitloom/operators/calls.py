@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import finite
+from .expect import require_range
 
 AUTOSOMES = range(1, 23)
 
@@ -69,6 +70,8 @@ def log_coverage_baseline(flagged: DataFrame, coverage: DataFrame, value_column:
 
 def filter_sample_methylation(calls: DataFrame, pattern: str = "X|Y|M|_", min_coverage: float = 10, fence_k: float = 3.0) -> tuple[DataFrame, DataFrame]:
     """Flagged calls and the sample table of raw calls."""
+    require_range("min_coverage", min_coverage, 0)
+    require_range("fence_k", fence_k, 0)
     kept = filter_chroms(calls, pattern)
     coverage = sample_coverage(kept, fence_k)
     flagged = flag_calls(kept, coverage, min_coverage)

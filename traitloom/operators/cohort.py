@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import average_rank, finite, normal_scores
+from ..functions.stats import average_rank, finite, inverse_normal
+from .expect import require_range
 
 SITE = ["chrom", "begin_pos", "end_pos", "site_key"]
 REASONS = ["Insufficient minimum coverage", "Extreme coverage exclusion", "Low methylation MAD", "Pass all cohort filters"]
@@ -24,18 +28,17 @@ def _spread(name: str, x: Column, scope: str) -> list[Column]:
     return [mean.alias(f"mean_{name}_{scope}"), sd.alias(f"sd_{name}_{scope}"), F.try_divide(sd, F.when(mean != 0, mean)).alias(f"cv_{name}_{scope}")]
 
 
-def site_metrics(calls: DataFrame, n_samples: int) -> DataFrame:
-    """One row a site from calls with value and flags: counts, fractions of the cohort, and spreads over all and over passing calls.
+def _metric_rows(calls: DataFrame) -> DataFrame:
+    """calls with __passing (the value of a passing call) and __off, its distance from the site's median."""
+    rows = calls.withColumn("__passing", F.when(F.col("per_sample_qc_pass"), finite(F.col("value"))))
+    return rows.withColumn("__off", F.abs(F.col("__passing") - F.median("__passing").over(Window.partitionBy(*SITE))))
 
-    One shuffle by site: the median that the MAD needs is a window over the same key as the aggregate.
-    """
+
+def _metrics(n_samples: int) -> list[Column]:
     ok = F.col("per_sample_qc_pass")
-    passing = F.when(ok, finite(F.col("value")))
-    middle = F.median(passing).over(Window.partitionBy(*SITE))
-    rows = calls.withColumn("__off", F.abs(passing - middle))
     n, alike = F.lit(float(n_samples)), lambda c: F.when(ok, F.col(c))
     count, n_min, n_ok = F.count(F.lit(1)), F.count_if("meets_min_coverage"), F.count_if(ok)
-    return rows.groupBy(*SITE).agg(
+    return [
         count.alias("n_samples_observed"), (count / n).alias("fraction_samples_observed"),
         *_spread("cov", F.col("cov"), "all_calls"), *_spread("methylation", F.col("value"), "all_calls"),
         n_min.alias("n_samples_min_coverage"), (n_min / n).alias("fraction_samples_min_coverage"),
@@ -44,17 +47,45 @@ def site_metrics(calls: DataFrame, n_samples: int) -> DataFrame:
         F.median(alike("cov")).alias("median_cov_passing_per_sample_qc"), F.min(alike("cov")).alias("min_cov_passing_per_sample_qc"),
         F.max(alike("cov")).alias("max_cov_passing_per_sample_qc"), *_spread("methylation", alike("value"), "passing_per_sample_qc"),
         F.median("__off").alias("methylation_mad_passing_per_sample_qc"),
-    )
+    ]
 
 
-def coverage_correlation(calls: DataFrame) -> DataFrame:
-    """Spearman correlation of value and normalised log coverage by site over passing calls; null below three pairs or two values."""
-    pairs = calls.where(F.col("per_sample_qc_pass")).withColumns({"x": finite(F.col("value")), "y": finite(F.col("norm_log_cov"))}).where("x is not null and y is not null")
-    ranked = pairs.withColumns({"rx": average_rank("x", *SITE), "ry": average_rank("y", *SITE)})
-    enough = (F.count(F.lit(1)) >= 3) & (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
+def _ranked_pairs(rows: DataFrame) -> DataFrame:
+    """rows with __x, __y (value and normalised log coverage of passing calls that have both) and their average ranks by site."""
+    x, y = finite(F.col("value")), finite(F.col("norm_log_cov"))
+    both = F.col("per_sample_qc_pass") & x.isNotNull() & y.isNotNull()
+    rows = rows.withColumns({"__x": F.when(both, x), "__y": F.when(both, y)})
+    return rows.withColumns({"__rx": average_rank("__x", *SITE), "__ry": average_rank("__y", *SITE)})
+
+
+def _correlation() -> list[Column]:
+    n = F.count("__x")
+    enough = (n >= 3) & (F.min("__x") < F.max("__x")) & (F.min("__y") < F.max("__y"))
     # corr() divides by a spread of zero, and aggregates are worked out whatever a condition around them says
-    rho = F.try_divide(F.covar_pop("rx", "ry"), F.stddev_pop("rx") * F.stddev_pop("ry"))
-    return ranked.groupBy(*SITE).agg(F.count(F.lit(1)).alias("n_samples_coverage_methylation_correlation"), F.when(enough, rho).alias("coverage_methylation_spearman_rho"))
+    rho = F.try_divide(F.covar_pop("__rx", "__ry"), F.stddev_pop("__rx") * F.stddev_pop("__ry"))
+    return [n.alias("n_samples_coverage_methylation_correlation"), F.when(enough, rho).alias("coverage_methylation_spearman_rho")]
+
+
+def site_metrics(calls: DataFrame, n_samples: int) -> DataFrame:
+    """One row a site from calls with value and flags: counts, fractions of the cohort, and spreads over all and over passing calls.
+
+    One shuffle by site: the median that the MAD needs is a window over the same key as the aggregate.
+    """
+    return _metric_rows(calls).groupBy(*SITE).agg(*_metrics(n_samples))
+
+
+def coverage_correlation(calls: DataFrame) -> DataFrame:
+    """Spearman correlation of value and normalised log coverage by site over passing calls; null below three pairs or two values. Sites
+    without a pair have no row."""
+    rows = _ranked_pairs(calls.repartition(*SITE))
+    return rows.groupBy(*SITE).agg(*_correlation()).where("n_samples_coverage_methylation_correlation > 0")
+
+
+def site_table(calls: DataFrame, n_samples: int) -> DataFrame:
+    """site_metrics() and coverage_correlation() of every site, and n_values, its finite values of passing calls: calls are dealt out by
+    site once, and every window and aggregate stays there."""
+    rows = _ranked_pairs(_metric_rows(calls.repartition(*SITE)))
+    return rows.groupBy(*SITE).agg(*_metrics(n_samples), *_correlation(), F.count("__passing").alias("n_values"))
 
 
 def flag_sites(metrics: DataFrame, n_samples: int, required: int, min_mad: float = 0.003) -> DataFrame:
@@ -101,34 +132,72 @@ def failure_patterns(sites: DataFrame) -> DataFrame:
     return sites.groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n_sites")).withColumn("labels", F.concat_ws(";", *labels))
 
 
-def complete_grid(calls: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:
-    """Every kept site with every sample: value of a passing call, or null. samples holds the cohort (checked small) once."""
-    passing = calls.where(F.col("per_sample_qc_pass")).select("site_key", "sample_id", finite(F.col("value")).alias("value"))
-    cohort = samples.agg(F.sort_array(F.collect_set("sample_id")).alias("all"))
-    rows = sites.where("keep_site").select(*SITE)
-    every = rows.join(F.broadcast(cohort)).select(*SITE, F.explode("all").alias("sample_id"))
-    return every.join(passing, ["site_key", "sample_id"], "left").select(*SITE, "sample_id", "value")
-
+def cohort_arrays(calls: DataFrame, sites: DataFrame, samples: list[str], digits: int | None = None) -> DataFrame:
+    """Every kept site with values (a passing call's, or null, for each of samples in order), filled (missing ones at the site's mean; null
+    throughout where there is none) and ranks of filled among the site's, ties averaged (of values rounded to digits).
 
-def impute_means(grid: DataFrame) -> DataFrame:
-    """grid with imputed cells: the site's mean over its values; imputed says which."""
-    site = Window.partitionBy("site_key")
-    return grid.withColumns({"imputed": F.col("value").isNull(), "value": F.coalesce("value", F.avg("value").over(site))})
-
-
-def site_scores(filled: DataFrame) -> DataFrame:
-    """Inverse-normal scores by site over samples, ties averaged."""
-    return filled.withColumn("score", normal_scores("value", "site_key", offset=0.5))
-
-
-def imputed_counts(sites: DataFrame, filled: DataFrame) -> DataFrame:
-    """sites with n_samples_imputed_in_qtl_bed, zero for sites that are not kept."""
-    counts = filled.groupBy("site_key").agg(F.count_if("imputed").alias("n"))
-    return sites.join(counts, "site_key", "left").withColumn("n_samples_imputed_in_qtl_bed", F.coalesce("n", F.lit(0))).drop("n")
-
-
-def merge_cohort(calls: DataFrame, samples: DataFrame, n_samples: int, fraction: float = 0.95, min_mad: float = 0.003) -> DataFrame:
-    """Site metadata of calls with value and norm_log_cov."""
-    metrics = site_metrics(calls, n_samples).join(coverage_correlation(calls), SITE, "left").fillna(0, ["n_samples_coverage_methylation_correlation"])
-    sites = flag_sites(metrics, n_samples, required_samples(n_samples, fraction), min_mad)
-    return imputed_counts(sites, impute_means(complete_grid(calls, sites, samples)))
+    Calls are shuffled once, by site; a site is one row from there on, and grid, means and ranks are arrays within it.
+    """
+    number = {s: i for i, s in enumerate(samples)}
+    n = len(samples)
+    passing = calls.where(F.col("per_sample_qc_pass")).select("site_key", "sample_id", finite(F.col("value")).alias("value")).where("value is not null")
+    lists = passing.groupBy("site_key").agg(F.collect_list("sample_id").alias("names"), F.collect_list("value").alias("found"))
+    rows = sites.where("keep_site").select(*SITE).join(lists, "site_key", "left").select(*SITE, "names", "found")
+
+    def fill(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, found = batch.column("names"), batch.column("found")
+            length = pa.compute.fill_null(pa.compute.list_value_length(names), 0).to_numpy(zero_copy_only=False)
+            known = names.flatten().dictionary_encode()
+            place = np.array([number.get(x, -1) for x in known.dictionary.to_pylist()], np.int64)[known.indices.to_numpy()]
+            row, values = np.repeat(np.arange(batch.num_rows), length), np.full((batch.num_rows, n), np.nan)
+            inside = place >= 0
+            values[row[inside], place[inside]] = found.flatten().to_numpy()[inside]
+            seen = ~np.isnan(values)
+            some = seen.sum(1)
+            mean = np.divide(np.where(seen, values, 0).sum(1), some, out=np.full(len(some), np.nan), where=some > 0)
+            filled = np.where(seen, values, mean[:, None])
+            key = filled if digits is None else np.round(filled, digits)
+            order = np.argsort(key, 1, kind="stable")
+            lined = np.take_along_axis(key, order, 1)
+            new = np.concatenate([np.ones((len(lined), 1), bool), lined[:, 1:] != lined[:, :-1]], 1)
+            first = np.maximum.accumulate(np.where(new, np.arange(n), 0), 1)
+            last = n - 1 - np.maximum.accumulate(np.where(np.concatenate([new[:, 1:], np.ones((len(new), 1), bool)], 1)[:, ::-1], np.arange(n), 0), 1)[:, ::-1]
+            ranks = np.empty_like(filled)
+            np.put_along_axis(ranks, order, (first + last) / 2 + 1, 1)
+            ranks[some == 0] = np.nan
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * n)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x.ravel(), mask=np.isnan(x.ravel()))) for x in (values, filled, ranks)]
+            yield pa.record_batch([*batch.columns[: len(SITE)], *lists], [*SITE, "values", "filled", "ranks"])
+
+    types = dict(sites.dtypes)
+    return rows.mapInArrow(fill, ", ".join(f"{c} {types[c]}" for c in SITE) + ", values array<double>, filled array<double>, ranks array<double>")
+
+
+def cohort_long(arrays: DataFrame, samples: list[str]) -> DataFrame:
+    """cohort_arrays() as rows of a site and a sample: observed, value (filled), imputed and score, the inverse-normal score by site."""
+    cells = F.posexplode(F.arrays_zip(F.col("values").alias("observed"), F.col("filled").alias("value"), F.col("ranks").alias("rank")))
+    rows = arrays.select(*SITE, cells.alias("i", "c"))
+    name = F.get(F.array(*map(F.lit, samples)), F.col("i"))
+    score = inverse_normal((F.col("c.rank") - 0.5) / float(len(samples)))
+    return rows.select(*SITE, name.alias("sample_id"), F.col("c.observed").alias("observed"), F.col("c.value").alias("value"), F.col("c.observed").isNull().alias("imputed"), score.alias("score"))
+
+
+def complete_grid(calls: DataFrame, sites: DataFrame, samples: list[str]) -> DataFrame:
+    """Every kept site with every sample: value of a passing call, or null."""
+    return cohort_long(cohort_arrays(calls, sites, samples), samples).select(*SITE, "sample_id", F.col("observed").alias("value"))
+
+
+def imputed_counts(sites: DataFrame, n_samples: int) -> DataFrame:
+    """sites (with n_values) with n_samples_imputed_in_qtl_bed: the samples without a value at kept sites, zero at others."""
+    n = F.when(F.col("keep_site"), n_samples - F.col("n_values")).otherwise(F.lit(0).cast("long"))
+    return sites.withColumn("n_samples_imputed_in_qtl_bed", n).drop("n_values")
+
+
+def merge_cohort(calls: DataFrame, n_samples: int, fraction: float = 0.95, min_mad: float = 0.003) -> DataFrame:
+    """Site metadata of calls with value and norm_log_cov, in one shuffle by site."""
+    require_range("fraction", fraction, 0, 1)
+    require_range("min_mad", min_mad, 0)
+    return imputed_counts(flag_sites(site_table(calls, n_samples), n_samples, required_samples(n_samples, fraction), min_mad), n_samples)

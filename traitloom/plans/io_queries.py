@@ -11,7 +11,7 @@ from ..operators import expect as Q
 from ..sources import readers as R
 from ..sources import writers as W
 from ..sources.shared import scratch
-from .queries import FLAGGED_DOUBLES, METRIC_DOUBLES, PIVOT, SAMPLES, SQL, Data, query, sql_of
+from .queries import FINE, FLAGGED_DOUBLES, METRIC_DOUBLES, PIVOT, PLATE, SAMPLES, SQL, Data, query, sql_of
 
 
 def _tsv(df: DataFrame, tag: str, header: bool = True) -> str:
@@ -58,17 +58,32 @@ def _vcf(d: Data) -> str:
     return _lines([_text(d, "##fileformat=VCFv4.2"), _text(d, "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *samples])), rows], "vcf")
 
 
-query("S01_scan_calls", sql_of("SELECT chrom, begin_pos, end_pos, mod_score, type, cov FROM calls", "calls"))(
-    lambda d: R.scan_calls(d.spark, _tsv(d.calls.select("chrom", "begin_pos", "end_pos", "mod_score", "type", "cov", F.lit(1).alias("x"), F.lit(2).alias("y"), F.lit(3).alias("z")), "calls", header=False))
-)
-query("S02_scan_manifest", sql_of("SELECT DISTINCT sample_id, concat(sample_id, '.bed') AS file FROM calls", "calls"))(
-    lambda d: R.scan_manifest(d.spark, _tsv(d.samples.select("sample_id", F.concat("sample_id", F.lit(".bed")).alias("file_path")), "manifest")).select("sample_id", F.regexp_extract("file_path", "[^/]*$", 0).alias("file"))
+def _call_files(d: Data) -> tuple[str, str]:
+    """Two sets of call files: of even samples without a header, of odd ones with one and in another order of columns."""
+    even, odd = (d.calls.where(f"CAST(substr(sample_id, 2) AS INT) % 2 = {k}") for k in (0, 1))
+    plain = _tsv(even.select("chrom", "begin_pos", "end_pos", "mod_score", "type", "cov", F.lit(1).alias("x")), "calls", header=False)
+    rows = odd.select(F.concat_ws("\t", "chrom", "cov", F.lit("note"), "begin_pos", "end_pos", "type", "mod_score").alias("value"))
+    return plain, _lines([_text(d, "##version"), _text(d, "#chrom\tcov\tnote\tbegin\tend\ttype\tmod_score"), rows], "named-calls")
+
+
+def _manifest(d: Data) -> str:
+    """A manifest of a folder of calls a sample, in a folder beside them."""
+    folder = scratch(d.spark, "manifest-calls")
+    d.calls.select(F.col("sample_id").alias("sample"), "chrom", "begin_pos", "end_pos", "mod_score", "type", "cov").repartition("sample").write.partitionBy("sample").options(sep="\t", compression="gzip").csv(folder)
+    rows = d.samples.select("sample_id", F.concat(F.lit(folder.rsplit("/", 1)[1] + "/sample="), "sample_id").alias("file_path"))
+    return _tsv(rows.coalesce(1), "manifest")
+
+
+query("S01_scan_calls", sql_of("SELECT chrom, begin_pos, end_pos, mod_score, type, cov FROM calls", "calls"))(lambda d: R.scan_calls(d.spark, list(_call_files(d))))
+query("S02_scan_manifest", sql_of("SELECT sample_id, chrom, begin_pos, end_pos, mod_score, type, cov FROM calls", "calls"))(lambda d: R.scan_manifest_calls(d.spark, _manifest(d)))
+query("S04_scan_path_list", sql_of("SELECT chrom, begin_pos, end_pos, mod_score, type, cov FROM calls", "calls"))(
+    lambda d: R.scan_calls(d.spark, [r["file_path"] for r in R.scan_path_list(d.spark, _lines([_text(d, *_call_files(d))], "paths"), "call").collect()])
 )
 query("S03_scan_cohort_manifest", sql_of("SELECT sample_id, 'qc' AS sample_qc, concat('autosome', lpad(CAST(n AS VARCHAR), 2, '0')) AS autosome, concat(sample_id, '.', n) AS file_path FROM (SELECT DISTINCT sample_id FROM calls) CROSS JOIN range(1, 23) r(n)", "calls"))(
     lambda d: R.scan_cohort_manifest(d.spark, _tsv(d.samples.select("sample_id", F.lit("qc").alias("sample_qc"), *[F.concat("sample_id", F.lit(f".{n}")).alias(f"autosome{n:02d}") for n in range(1, 23)]), "cohort"))
 )
 query("S06_scan_sample_qc", SQL["A02_sample_qc"])(lambda d: _round_trip_qc(d))
-query("S07_scan_cohort_samples", sql_of("SELECT DISTINCT sample_id FROM calls", "calls"))(lambda d: R.tsv(d.spark, _tsv(d.samples, "samples"), "sample_id string"))
+query("S07_scan_cohort_samples", sql_of("SELECT DISTINCT sample_id FROM calls", "calls"))(lambda d: R.scan_cohort_samples(d.spark, _tsv(d.samples, "samples"), d.samples.count()))
 query("S08_scan_gct", sql_of("SELECT g.gene_id, s.sample_id, CAST(coalesce(c.cnt, 0) AS DOUBLE) AS cnt FROM (SELECT DISTINCT gene_id FROM counts) g CROSS JOIN (SELECT DISTINCT sample_id FROM counts) s LEFT JOIN counts c ON c.gene_id = g.gene_id AND c.sample_id = s.sample_id", "counts"))(lambda d: R.scan_gct(d.spark, _gct(d)))
 query("S09_scan_gtf", sql_of("SELECT chrom, 'gene' AS type, start_pos, end_pos, strand, gene_id, gene_name FROM genes", "genes"))(lambda d: R.scan_gtf(d.spark, _gtf(d)))
 query("S10_scan_ccres", sql_of("SELECT chrom, start_pos - 1 AS ccre_begin, end_pos AS ccre_end, ccre_v4_id, ccre_v5_id, ccre_type FROM ccres", "ccres"))(
@@ -104,7 +119,24 @@ def _round_trip_qc(d: Data) -> DataFrame:
     from ..operators import calls as C
 
     qc = C.sample_qc(d.calls, d.kept, d.flagged, d.coverage)
-    return R.tsv(d.spark, _tsv(qc, "sample-qc"), ", ".join(f"{n} {t}" for n, t in qc.dtypes))
+    parts = [_tsv(qc.where(w), "sample-qc") for w in ("sample_id < 'S05'", "sample_id >= 'S05'")]
+    return R.scan_sample_qc(d.spark, parts, ", ".join(f"{n} {t}" for n, t in qc.dtypes), d.samples.count())
+
+
+def _long_calls(d: Data) -> DataFrame:
+    """Filtered calls of two shards, written and read again."""
+    rows = d.flagged.withColumnsRenamed({"chrom": "#chrom", "begin_pos": "begin", "end_pos": "end"})
+    rows = rows.select("sample_id", *[c for c in rows.columns if c != "sample_id"])
+    paths = [scratch(d.spark, "long-calls") for _ in range(2)]
+    for path, part in zip(paths, ("sample_id < 'S05'", "sample_id >= 'S05'"), strict=True):
+        W.write_table(rows.where(part), path)
+    return R.scan_long_calls(d.spark, paths, {n: t for n, t in d.flagged.dtypes if n not in R.LONG_CALLS}).select(d.flagged.columns)
+
+
+def _bed_written(d: Data) -> DataFrame:
+    path = scratch(d.spark, "bed")
+    W.write_phenotype_bed(d.longs.select("chrom", F.col("begin_pos").alias("start_pos"), "end_pos", F.col("site_key").alias("phenotype_id"), "sample_id", "value"), SAMPLES, path)
+    return R.tsv(d.spark, path, "`#chr` string, start bigint, end bigint, phenotype_id string, " + ", ".join(f"{s} double" for s in SAMPLES))
 
 
 def _passing(d: Data) -> DataFrame:
@@ -123,12 +155,12 @@ def _by_chrom(d: Data, form: str) -> DataFrame:
     return back.select(d.flagged.columns)
 
 
-query("S05_scan_long_calls", sql_of("SELECT * FROM flagged", "flagged", doubles=FLAGGED_DOUBLES))(lambda d: d.spark.read.parquet(_parquet(d.flagged, "long-calls")))
-query("S12_scan_npx", sql_of("SELECT * FROM npx", "npx", doubles=("NPX",)))(lambda d: d.spark.read.parquet(_parquet(d.npx, "npx")))
+query("S05_scan_long_calls", sql_of("SELECT * FROM flagged", "flagged", doubles=FLAGGED_DOUBLES))(_long_calls)
+query("S12_scan_npx", sql_of("SELECT * FROM npx", "npx", doubles=("NPX",)))(lambda d: R.scan_npx(d.spark, _parquet(d.npx, "npx"), PLATE))
 query("S13_scan_protein", sql_of("SELECT SampleID, Assay, NPX FROM npx", "npx", doubles=("NPX",)))(lambda d: R.scan_protein(d.spark, _parquet(d.npx.select("SampleID", "Assay", "NPX"), "protein") + "/*.parquet"))
 query("K01_write_by_chrom", sql_of("SELECT * FROM flagged", "flagged", doubles=FLAGGED_DOUBLES))(lambda d: _by_chrom(d, "tsv"))
-query("K02_write_table", sql_of("SELECT * FROM metrics", "metrics", doubles=METRIC_DOUBLES))(lambda d: _table(d))
-query("K03_write_phenotype_bed", sql_of(f"SELECT chrom AS \"#chr\", begin_pos AS start, end_pos AS \"end\", site_key AS phenotype_id, {PIVOT.format(v='value')} FROM longs GROUP BY 1, 2, 3, 4", "longs", doubles=tuple(SAMPLES)))(_wide)
+query("K02_write_table", sql_of("SELECT * FROM metrics", "metrics", doubles=METRIC_DOUBLES, digits=FINE), digits=FINE)(lambda d: _table(d))
+query("K03_write_phenotype_bed", sql_of(f"SELECT chrom AS \"#chr\", begin_pos AS start, end_pos AS \"end\", site_key AS phenotype_id, {PIVOT.format(v='value')} FROM longs GROUP BY 1, 2, 3, 4", "longs", doubles=tuple(SAMPLES)))(_bed_written)
 query("K04_write_covariate_matrix", SQL["O12_transpose"])(lambda d: R.tsv(d.spark, _tsv(V.covariate_matrix(d.covariates, SAMPLES), "covariates"), "ID string, " + ", ".join(f"{s} double" for s in SAMPLES)))
 
 

@@ -18,6 +18,7 @@ from ..operators import expression as E
 from ..operators import genotype as G
 from ..operators import intervals as I
 from ..operators import linalg as L
+from ..operators import ordered
 from ..operators import proteomics as P
 from . import fixtures
 
@@ -25,6 +26,7 @@ from . import fixtures
 DIGITS, FINE = 6, 10
 CHROMS, FENCE, MIN_COV, FRACTION, MAD = "X|Y|M|_|22", 0.1, 10.0, 0.6, 0.003
 N_SAMPLES = 10
+SAMPLES = [f"S{i:02d}" for i in range(N_SAMPLES)]
 PAIR_BP, PAIR_R = 1000, 0.2
 PLATE = "PLATE0"
 
@@ -78,10 +80,6 @@ STEPS = {
     "removed": (["plated", "failed"], "SELECT DISTINCT SampleID FROM plated WHERE SampleQC <> 'PASS' AND Assay NOT IN (SELECT Assay FROM failed)"),
     "qced": (["plated", "failed", "removed"], "SELECT * REPLACE (regexp_replace(SampleID, '_.*', '') AS SampleID) FROM plated WHERE SampleID NOT IN (SELECT SampleID FROM removed) AND Assay NOT IN (SELECT Assay FROM failed)"),
     "vecs": (["matrix"], "SELECT chrom, start_pos, feature_id, sample_idx, (value - avg(value) OVER f) AS c FROM matrix WINDOW f AS (PARTITION BY feature_id)"),
-    "units": (["vecs"], "SELECT chrom, start_pos, feature_id, sample_idx, c / sqrt(sum(c * c) OVER (PARTITION BY feature_id)) AS z FROM vecs"),
-    "edges": (["units"], f"""SELECT a.chrom, a.feature_id AS i, b.feature_id AS j, a.start_pos AS start_i, b.start_pos AS start_j, b.start_pos - a.start_pos AS distance, sum(a.z * b.z) AS r
-  FROM units a JOIN units b ON a.chrom = b.chrom AND a.sample_idx = b.sample_idx AND (b.start_pos > a.start_pos OR (b.start_pos = a.start_pos AND b.feature_id > a.feature_id)) AND b.start_pos - a.start_pos <= {PAIR_BP}
-  GROUP BY 1, 2, 3, 4, 5, 6 HAVING abs(sum(a.z * b.z)) >= {PAIR_R}e0"""),
     "devs": (["matrix"], "SELECT *, value - median(value) OVER (PARTITION BY sample_idx) AS d FROM matrix"),
     "mads": (["devs"], "SELECT *, median(abs(d)) OVER (PARTITION BY sample_idx) AS mad FROM devs"),
     "weights": (["mads"], "SELECT feature_id, sample_idx AS sample_id, CASE WHEN abs(d / (9 * mad)) < 1 THEN d * pow(1 - (d / (9 * mad)) * (d / (9 * mad)), 2) ELSE 0 END AS w FROM mads"),
@@ -92,6 +90,55 @@ STEPS = {
 }
 
 
+def _cluster_steps(prefix: str, centred: str) -> None:
+    """Steps from centred vectors (chrom, start_pos, feature_id, sample_idx, c) to clusters and representatives."""
+    x = prefix
+    STEPS[f"{x}units"] = ([centred], f"SELECT chrom, start_pos, feature_id, sample_idx, c / sqrt(sum(c * c) OVER (PARTITION BY feature_id)) AS z FROM {centred}")
+    STEPS[f"{x}edges"] = ([f"{x}units"], f"""SELECT a.chrom, a.feature_id AS i, b.feature_id AS j, a.start_pos AS start_i, b.start_pos AS start_j, b.start_pos - a.start_pos AS distance, sum(a.z * b.z) AS r
+  FROM {x}units a JOIN {x}units b ON a.chrom = b.chrom AND a.sample_idx = b.sample_idx AND (b.start_pos > a.start_pos OR (b.start_pos = a.start_pos AND b.feature_id > a.feature_id)) AND b.start_pos - a.start_pos <= {PAIR_BP}
+  GROUP BY 1, 2, 3, 4, 5, 6 HAVING abs(sum(a.z * b.z)) >= {PAIR_R}e0""")
+    STEPS[f"{x}ends"] = ([f"{x}edges"], f"SELECT chrom, i AS f, j AS g, start_i AS start_pos, r FROM {x}edges UNION ALL SELECT chrom, j, i, start_j, r FROM {x}edges")
+    STEPS[f"{x}members"] = ([f"{x}ends"], f"""SELECT chrom, f AS feature_id, least(f, min(g)) AS component FROM (
+  WITH RECURSIVE reach AS (SELECT chrom, f, g FROM {x}ends UNION SELECT reach.chrom, reach.f, e.g FROM reach JOIN {x}ends e ON e.chrom = reach.chrom AND e.f = reach.g) SELECT * FROM reach) GROUP BY chrom, f""")
+    STEPS[f"{x}nodes"] = ([f"{x}members", f"{x}ends"], f"SELECT m.chrom, component, feature_id, any_value(start_pos) AS start_pos, sum(abs(r)) AS lc FROM {x}members m JOIN {x}ends e ON e.chrom = m.chrom AND e.f = m.feature_id GROUP BY 1, 2, 3")
+    STEPS[f"{x}clusters"] = ([f"{x}nodes", f"{x}members", f"{x}edges"], f"""SELECT *, CAST(dense_rank() OVER (PARTITION BY chrom ORDER BY cluster_start, representative_cpg) AS INT) AS cluster_id FROM (
+  SELECT n.*, p.* EXCLUDE (chrom, component), cluster_end - cluster_start AS cluster_span_bp, b.feature_id AS representative_cpg, b.start_pos AS representative_start, b.start_pos + 1 AS representative_end, b.lc AS representative_local_connectivity
+  FROM (SELECT chrom, component, min(start_pos) AS cluster_start, max(start_pos) AS cluster_end, count(*) AS n_correlated_cpgs FROM {x}nodes GROUP BY 1, 2) n
+  JOIN (SELECT e.chrom, component, count(*) AS n_correlated_pairs, avg(distance) AS mean_pair_distance_bp, max(distance) AS max_pair_distance_bp, avg(abs(r)) AS mean_abs_correlation, max(abs(r)) AS max_abs_correlation
+    FROM {x}edges e JOIN {x}members m ON m.chrom = e.chrom AND m.feature_id = e.i GROUP BY 1, 2) p ON p.chrom = n.chrom AND p.component = n.component
+  JOIN (SELECT * FROM {x}nodes QUALIFY row_number() OVER (PARTITION BY chrom, component ORDER BY lc DESC, start_pos, feature_id) = 1) b ON b.chrom = n.chrom AND b.component = n.component)""")
+    STEPS[f"{x}chosen"] = ([f"{x}clusters", f"{x}members", centred], f"""SELECT chrom, representative_start AS start_pos, representative_end AS end_pos, representative_cpg AS feature_id, cluster_id, n_correlated_cpgs AS cluster_size, representative_local_connectivity AS local_connectivity, 'correlated_cluster' AS selection_type FROM {x}clusters
+  UNION ALL SELECT DISTINCT chrom, start_pos, start_pos + 1, feature_id, NULL, 1, 0e0, 'singleton' FROM {centred} v ANTI JOIN {x}members m USING (chrom, feature_id)""")
+
+
+def _connectivity_steps(prefix: str, source: str) -> None:
+    """Steps from values (feature_id, sample_idx, value) to the connectivity of samples, over the features that both of a pair have."""
+    x, pair = prefix, "WINDOW p AS (PARTITION BY s, t)"
+    varying = f"SELECT feature_id, sample_idx, value FROM {source} WHERE value IS NOT NULL AND feature_id IN (SELECT feature_id FROM {source} GROUP BY 1 HAVING stddev_samp(value) > 0)"
+    STEPS[f"{x}devs"] = ([source], f"SELECT s, t, a - median(a) OVER p AS a, b - median(b) OVER p AS b FROM (SELECT x.sample_idx AS s, y.sample_idx AS t, x.value AS a, y.value AS b FROM ({varying}) x JOIN ({varying}) y USING (feature_id)) {pair}")
+    STEPS[f"{x}mads"] = ([f"{x}devs"], f"SELECT *, 9 * median(abs(a)) OVER p AS ma, 9 * median(abs(b)) OVER p AS mb FROM {x}devs {pair}")
+    weight = lambda v: f"CASE WHEN abs({v} / m{v}) < 1 THEN {v} * pow(1 - ({v} / m{v}) * ({v} / m{v}), 2) ELSE 0 END"
+    STEPS[f"{x}bicor"] = ([f"{x}mads"], f"SELECT s, t, sum(a * b) / sqrt(sum(a * a) * sum(b * b)) AS r FROM (SELECT s, t, {weight('a')} AS a, {weight('b')} AS b FROM {x}mads) GROUP BY 1, 2")
+    STEPS[f"{x}conn"] = ([f"{x}bicor"], f"SELECT s AS sample_id, sum(0.5e0 + 0.5e0 * r) FILTER (WHERE s <> t) AS connectivity FROM {x}bicor GROUP BY 1")
+
+
+def _residual_sql(source: str) -> str:
+    """Residuals of values (…, feature_id, sample_idx, value) on an intercept and two covariates of samples, by normal equations over the
+    values that are there."""
+    mean = f"SELECT * EXCLUDE (value), value - avg(value) OVER f AS y, a - avg(a) OVER f AS a1, b - avg(b) OVER f AS b1 FROM (SELECT *, {COVARIATE_A} AS a, {COVARIATE_B} AS b FROM {source} WHERE value IS NOT NULL) WINDOW f AS (PARTITION BY feature_id)"
+    sums = f"SELECT *, sum(a1 * a1) OVER f AS aa, sum(b1 * b1) OVER f AS bb, sum(a1 * b1) OVER f AS ab, sum(a1 * y) OVER f AS ay, sum(b1 * y) OVER f AS by_ FROM ({mean}) WINDOW f AS (PARTITION BY feature_id)"
+    return f"SELECT * EXCLUDE (a, b, y, a1, b1, aa, bb, ab, ay, by_), y - (ay * bb - by_ * ab) / (aa * bb - ab * ab) * a1 - (by_ * aa - ay * ab) / (aa * bb - ab * ab) * b1 AS c FROM ({sums})"
+
+
+#: Covariates of the residual queries, of a sample's index from 1.
+COVARIATE_A, COVARIATE_B = "((sample_idx - 1) % 7)::DOUBLE", "sqrt(sample_idx - 1)"
+_cluster_steps("", "vecs")
+STEPS["resid"] = (["matrix"], _residual_sql("matrix"))
+_cluster_steps("r", "resid")
+STEPS["repvals"] = (["matrix", "chosen"], "SELECT m.feature_id, m.sample_idx, m.value FROM matrix m JOIN (SELECT feature_id FROM chosen) USING (feature_id)")
+_connectivity_steps("rep", "repvals")
+
+
 def sql_of(body: str, *steps: str, doubles: tuple[str, ...] = (), digits: int = DIGITS) -> str:
     """A statement with the steps (and all that they need) as its tables; doubles are rounded as in rounded()."""
     order: list[str] = []
@@ -156,11 +203,12 @@ class Data:
 
     @property
     def grid(self) -> DataFrame:
-        return H.complete_grid(self.longs, self.sites, self.samples)
+        return H.complete_grid(self.longs, self.sites, SAMPLES)
 
     @property
     def filled(self) -> DataFrame:
-        return H.impute_means(self.grid)
+        """Cells of the cohort with imputed values and scores of values rounded to nine digits."""
+        return H.cohort_long(H.cohort_arrays(self.longs, self.sites, SAMPLES, 9), SAMPLES)
 
     @property
     def spots(self) -> DataFrame:
@@ -192,6 +240,19 @@ class Data:
     def edges(self) -> DataFrame:
         return K.correlated_pairs(self.features, PAIR_BP, PAIR_R)
 
+    @property
+    def members(self) -> DataFrame:
+        return K.components(self.features, self.edges, PAIR_BP)
+
+    @property
+    def clusters(self) -> DataFrame:
+        return K.cluster_table(self.features, self.edges, self.members)
+
+    @property
+    def chosen(self) -> DataFrame:
+        members = self.members
+        return K.representatives(self.features, members, K.cluster_table(self.features, self.edges, members))
+
     @property
     def sample_rows(self) -> DataFrame:
         return self.matrix.select("feature_id", F.col("sample_idx").alias("sample_id"), "value")
@@ -285,7 +346,7 @@ query("J03_semi_kept_sites", sql_of("SELECT sample_id, site_key, value FROM long
     lambda d: d.longs.where("per_sample_qc_pass").join(d.sites.where("keep_site").select("site_key"), "site_key", "left_semi").select("sample_id", "site_key", "value")
 )
 query("J04_imputed_counts", sql_of("SELECT s.site_key, s.keep_site, coalesce(f.n, 0) AS n_samples_imputed_in_qtl_bed FROM sites s LEFT JOIN (SELECT site_key, count(*) FILTER (WHERE imputed) AS n FROM filled GROUP BY 1) f USING (site_key)", "sites", "filled"))(
-    lambda d: H.imputed_counts(d.sites, d.filled).select("site_key", "keep_site", "n_samples_imputed_in_qtl_bed")
+    lambda d: H.merge_cohort(d.longs, N_SAMPLES, FRACTION, MAD).select("site_key", "keep_site", "n_samples_imputed_in_qtl_bed")
 )
 TSS_SQL = "SELECT gene_id, chrom, (CASE WHEN strand = '+' THEN start_pos ELSE end_pos END) - 1 AS tss_start, CASE WHEN strand = '+' THEN start_pos ELSE end_pos END AS tss_end FROM genes"
 query("J05_expression_tss", sql_of(f"SELECT e.*, chrom, tss_start, tss_end FROM expressed e JOIN ({TSS_SQL}) USING (gene_id)", "expressed", "genes"))(lambda d: E.locate(d.expressed, I.gene_tss(d.genes)))
@@ -371,15 +432,22 @@ query("A16_overlap_summary", sql_of(
     FROM spots p JOIN genes g ON p.chrom = g.chrom AND p.start_pos <= g.end_pos AND g.start_pos <= p.end_pos GROUP BY 1) USING (site_key)""", "spots", "genes"))(
     lambda d: I.overlap_summary(d.spots, d.genes, "genes", {"gene_id": "gene_id", "gene_name": "gene_name"}).select("site_key", "n_genes", "gene_id", "gene_name")
 )
-query("A17_cluster_stats")(lambda d: K.cluster_table(d.features, d.edges, K.components(d.features, d.edges, PAIR_BP)))
+CLUSTER_DOUBLES = ("mean_pair_distance_bp", "mean_abs_correlation", "max_abs_correlation", "representative_local_connectivity")
+query("A17_cluster_stats", sql_of("SELECT * FROM clusters", "clusters", doubles=CLUSTER_DOUBLES))(lambda d: d.clusters)
 query("A18_local_connectivity", sql_of("SELECT chrom, f AS feature_id, sum(abs(r)) AS local_connectivity FROM (SELECT chrom, i AS f, r FROM edges UNION ALL SELECT chrom, j, r FROM edges) GROUP BY 1, 2", "edges", doubles=("local_connectivity",)))(lambda d: K.local_connectivity(d.edges))
-query("A19_correlation_summary")(lambda d: K.correlation_summary(d.features, K.cluster_table(d.features, d.edges, K.components(d.features, d.edges, PAIR_BP))))
+SUMMARY_DOUBLES = ("mean_cluster_size", "median_cluster_size", "mean_correlated_pair_distance_bp", "min_abs_correlation")
+SUMMARY_SQL = f"""SELECT f.*, coalesce(n_correlated_pairs, 0) AS n_correlated_pairs, coalesce(n_clusters, 0) AS n_clusters, coalesce(n_cpgs_in_clusters, 0) AS n_cpgs_in_clusters, mean_cluster_size, median_cluster_size,
+  mean_correlated_pair_distance_bp, max_correlated_pair_distance_bp, '' AS input_bed, '' AS covariates, {PAIR_BP} AS window_bp, {PAIR_R}e0 AS min_abs_correlation, (SELECT count(*) FROM chosen c WHERE c.chrom = f.chrom) AS n_representative_cpgs
+  FROM (SELECT chrom, CAST(max(n) AS INT) AS n_samples_used, count(*) AS n_cpgs_processed, count(*) FILTER (WHERE flat) AS n_zero_variance_cpgs FROM (SELECT chrom, feature_id, count(*) AS n, sum(c * c) <= 0 AS flat FROM vecs GROUP BY 1, 2) GROUP BY 1) f
+  LEFT JOIN (SELECT chrom, CAST(sum(n_correlated_pairs) AS BIGINT) AS n_correlated_pairs, count(*) AS n_clusters, CAST(sum(n_correlated_cpgs) AS BIGINT) AS n_cpgs_in_clusters, avg(n_correlated_cpgs) AS mean_cluster_size, median(n_correlated_cpgs) AS median_cluster_size,
+    sum(mean_pair_distance_bp * n_correlated_pairs) / sum(n_correlated_pairs) AS mean_correlated_pair_distance_bp, max(max_pair_distance_bp) AS max_correlated_pair_distance_bp FROM clusters GROUP BY 1) c USING (chrom)"""
+query("A19_correlation_summary", sql_of(SUMMARY_SQL, "clusters", "chosen", "vecs", doubles=SUMMARY_DOUBLES))(lambda d: K.correlation_summary(d.features, d.clusters, PAIR_BP, PAIR_R))
 query("A20_sample_connectivity", sql_of("SELECT sample_id, connectivity, (connectivity - avg(connectivity) OVER ()) / stddev_samp(connectivity) OVER () AS zscore, NOT (zscore < -3) AS pass_connectivity_filter FROM conn", "conn", doubles=("connectivity", "zscore")))(
     lambda d: N.outliers(N.connectivity(N.varying_features(d.sample_rows)))
 )
 query("A21_connectivity_summary", sql_of("""SELECT (SELECT count(DISTINCT feature_id) FROM matrix) AS n_representative_cpgs, (SELECT count(*) FROM (SELECT feature_id FROM matrix GROUP BY 1 HAVING stddev_samp(value) > 0)) AS n_representative_cpgs_used,
-count(*) AS n_samples_before, count(*) FILTER (WHERE z < -2) AS n_samples_removed, count(*) FILTER (WHERE z >= -2) AS n_samples_retained, -2e0 AS z_threshold FROM (SELECT (connectivity - avg(connectivity) OVER ()) / stddev_samp(connectivity) OVER () AS z FROM conn)""", "matrix", "conn", doubles=("z_threshold",)))(
-    lambda d: N.summary(d.sample_rows, N.varying_features(d.sample_rows), N.outliers(N.connectivity(N.varying_features(d.sample_rows)), -2.0), -2.0)
+'correlation_pruned_full_wgcna_bicor' AS method, count(*) AS n_samples_in_full_correlation, count(*) AS n_samples_before, count(*) FILTER (WHERE z < -2) AS n_samples_removed, count(*) FILTER (WHERE z >= -2) AS n_samples_retained, -2e0 AS z_threshold FROM (SELECT (connectivity - avg(connectivity) OVER ()) / stddev_samp(connectivity) OVER () AS z FROM conn)""", "matrix", "conn", doubles=("z_threshold",)))(
+    lambda d: N.summary(d.sample_rows, N.varying_features(d.sample_rows), N.score_samples(d.sample_rows, -2.0), -2.0)
 )
 query("A22_lost_features", sql_of("SELECT count(DISTINCT e.gene_id) AS n_before, count(DISTINCT g.gene_id) AS n_after, n_before - n_after AS n_lost FROM expressed e LEFT JOIN (SELECT * FROM genes WHERE strand = '+') g USING (gene_id)", "expressed", "genes"))(
     lambda d: E.lost_features(d.expressed, E.locate(d.expressed, I.gene_tss(d.genes.where("strand = '+'"))))
@@ -397,7 +465,7 @@ def rank_sql(value: str, by: str) -> str:
 
 SCALED = "SELECT *, ({v} - avg({v}) OVER f) / nullif(stddev_samp({v}) OVER f, 0) AS scaled FROM {t} WINDOW f AS (PARTITION BY {by})"
 query("W01_int_methylation", sql_of(f"SELECT site_key, sample_id, {inverse_normal_sql('(r - 0.5e0) / n')} AS score FROM (SELECT *, {rank_sql('round(value, 9)', 'site_key')} AS r, count(*) OVER (PARTITION BY site_key) AS n FROM filled)", "filled", doubles=("score",)))(
-    lambda d: H.site_scores(d.filled.withColumn("value", F.round("value", 9))).select("site_key", "sample_id", "score")
+    lambda d: d.filled.select("site_key", "sample_id", "score")
 )
 query("W02_average_rank", sql_of(f"SELECT sample_id, site_key, {rank_sql('cov', 'sample_id')} AS r FROM flagged", "flagged", doubles=("r",)))(lambda d: d.flagged.select("sample_id", "site_key", average_rank("cov", "sample_id").alias("r")))
 query("W03_int_expression", sql_of(f"SELECT gene_id, sample_id, {inverse_normal_sql('(r - 0.375e0) / (n + 0.25e0)')} AS score FROM (SELECT *, {rank_sql('cnt', 'gene_id')} AS r, count(*) OVER (PARTITION BY gene_id) AS n FROM expressed)", "expressed", doubles=("score",)))(
@@ -413,12 +481,16 @@ query("W06_scale_residual_rows", sql_of("SELECT site_key, sample_id, (value - av
 query("W07_first_plate", sql_of("SELECT SampleID, min(PlateID) AS PlateID FROM qced GROUP BY 1", "qced"))(lambda d: P.first_plates(d.qced))
 query("W08_connectivity_zscore", sql_of("SELECT sample_id, (connectivity - avg(connectivity) OVER ()) / stddev_samp(connectivity) OVER () AS zscore FROM conn", "conn", doubles=("zscore",)))(lambda d: N.outliers(N.connectivity(d.sample_rows)).select("sample_id", "zscore"))
 query("W09_sliding_window", sql_of(f"SELECT chrom, feature_id, count(*) OVER (PARTITION BY chrom ORDER BY start_pos RANGE BETWEEN {PAIR_BP} PRECEDING AND CURRENT ROW) AS n_active FROM (SELECT DISTINCT chrom, start_pos, feature_id FROM matrix)", "matrix"))(
-    lambda d: d.matrix.select("chrom", "start_pos", "feature_id").distinct().select("chrom", "feature_id", F.count(F.lit(1)).over(Window.partitionBy("chrom").orderBy("start_pos").rangeBetween(-PAIR_BP, 0)).alias("n_active"))
+    lambda d: ordered.within_reach(d.matrix.select("chrom", "start_pos", "feature_id").distinct(), "chrom", "start_pos", PAIR_BP, "n_active").select("chrom", "feature_id", "n_active")
 )
 query("W10_segments", sql_of(f"SELECT chrom, start_pos, feature_id, CAST(sum(new) OVER (PARTITION BY chrom ORDER BY start_pos, feature_id) AS BIGINT) AS segment FROM (SELECT *, CASE WHEN start_pos - lag(start_pos) OVER (PARTITION BY chrom ORDER BY start_pos, feature_id) > {PAIR_BP} THEN 1 ELSE 0 END AS new FROM (SELECT DISTINCT chrom, start_pos, feature_id FROM matrix))", "matrix"))(
     lambda d: K.segments(d.matrix.select("chrom", "start_pos", "feature_id").distinct(), PAIR_BP)
 )
-query("W11_representatives")(lambda d: K.cluster_table(d.features, d.edges, K.components(d.features, d.edges, PAIR_BP)).select("chrom", "cluster_id", "representative_cpg", "representative_start"))
+query("W11_representatives", sql_of("SELECT chrom, cluster_id, representative_cpg, representative_start, representative_end FROM clusters", "clusters"))(lambda d: d.clusters.select("chrom", "cluster_id", "representative_cpg", "representative_start", "representative_end"))
+query("W12_nearest_before_after", sql_of("""SELECT site_key, max(tss) FILTER (WHERE tss <= p.start_pos) AS before_pos, min(tss) FILTER (WHERE tss >= p.start_pos) AS after_pos,
+  arg_min(gene_id, (-tss, gene_id)) FILTER (WHERE tss <= p.start_pos) AS before_gene, arg_min(gene_id, (tss, gene_id)) FILTER (WHERE tss >= p.start_pos) AS after_gene FROM spots p LEFT JOIN tss USING (chrom) GROUP BY 1""", "spots", "tss"))(
+    lambda d: I.beside_points(d.spots, I.annotation_tss(d.genes), "tss", "gene_id", ["gene_id"]).select("site_key", F.col("before.pos").alias("before_pos"), F.col("after.pos").alias("after_pos"), F.col("before.p.gene_id").alias("before_gene"), F.col("after.p.gene_id").alias("after_gene"))
+)
 
 # --- sorts, sets, shapes -----------------------------------------------------------------------------------------------
 
@@ -430,7 +502,6 @@ query("O04_sort_samples", sql_of("SELECT * FROM covariates ORDER BY sample_id",
 query("O06_union_shards", sql_of("SELECT * FROM calls", "calls"))(lambda d: d.calls.where("sample_id < 'S05'").unionByName(d.calls.where("sample_id >= 'S05'")))
 query("O08_set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")(lambda d: d.spark.read.parquet(f"{d.sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k")).subtract(d.spark.read.parquet(f"{d.sf_dir}/orders.parquet").select("o_custkey")))
 query("O09_distinct", sql_of("SELECT DISTINCT SampleID, PlateID FROM npx", "npx"))(lambda d: d.npx.select("SampleID", "PlateID").distinct())
-SAMPLES = [f"S{i:02d}" for i in range(N_SAMPLES)]
 PIVOT = ", ".join(f"max(CASE WHEN sample_id = '{s}' THEN {{v}} END) AS {s}" for s in SAMPLES)
 query("O10_pivot", sql_of(f"SELECT site_key, {PIVOT.format(v='value')} FROM longs GROUP BY 1", "longs", doubles=tuple(SAMPLES)))(lambda d: d.longs.groupBy("site_key").pivot("sample_id", SAMPLES).agg(F.first("value")))
 query("O11_unpivot", sql_of("SELECT sample_id, 'gpc1' AS ID, gpc1 AS value FROM covariates UNION ALL SELECT sample_id, 'gpc2', gpc2 FROM covariates", "covariates", doubles=("value",)))(lambda d: V.to_long(d.covariates))
@@ -465,7 +536,7 @@ def _design(d: Data):
     import pandas as pd
 
     n = d.features.select(F.size("vec").alias("n")).first()["n"]
-    return L.design_matrix(pd.DataFrame({"a": np.arange(n) % 7, "b": np.sqrt(np.arange(n))}))
+    return L.model_matrix(pd.DataFrame({"a": np.arange(n) % 7, "b": np.sqrt(np.arange(n))}))
 
 
 def _vectors(d: Data) -> DataFrame:
@@ -483,23 +554,20 @@ def _pcs(d: Data, n: int = 3) -> DataFrame:
     return L.pcs_frame(vectors, scores, [f"S{i:02d}" for i in range(size)], n)
 
 
-query("L02_residualize")(lambda d: _elements(L.residualize(_vectors(d), _design(d))))
-query("L03_residualize_with_nulls")(lambda d: _elements(L.residualize(_vectors(d).withColumn("vec", F.transform("vec", lambda v, i: F.when((i + F.col("feature_id")) % 9 != 0, v))), _design(d))))
+query("L02_residualize", sql_of("SELECT feature_id, sample_idx, c AS v FROM resid", "resid", doubles=("v",)))(lambda d: _elements(L.residualize(_vectors(d), _design(d))))
+MASKED = "SELECT * REPLACE (CASE WHEN (sample_idx - 1 + feature_id) % 9 <> 0 THEN value END AS value) FROM matrix"
+query("L03_residualize_with_nulls", sql_of(f"SELECT m.feature_id, m.sample_idx, c AS v FROM matrix m LEFT JOIN ({_residual_sql(f'({MASKED})')}) r ON r.feature_id = m.feature_id AND r.sample_idx = m.sample_idx", "matrix", doubles=("v",)))(lambda d: _elements(L.residualize(_vectors(d).withColumn("vec", F.transform("vec", lambda v, i: F.when((i + F.col("feature_id")) % 9 != 0, v))), _design(d))))
 query("L04_row_standardise", sql_of("SELECT feature_id, sample_idx, z AS v FROM units", "units", doubles=("v",)))(lambda d: _elements(d.features))
 query("L05_pca")(_pcs)
 query("L07_bicor_vectors", sql_of("SELECT * FROM zs", "zs", doubles=("z",)))(lambda d: N.bicor_vectors(d.sample_rows))
 query("L08_connectivity", sql_of("SELECT * FROM conn", "conn", doubles=("connectivity",)))(lambda d: N.connectivity(d.sample_rows))
 query("L09_pearson_pairs", sql_of("SELECT * FROM edges", "edges", doubles=("r",)))(lambda d: d.edges)
-query("L10_components")(lambda d: K.components(d.features, d.edges, PAIR_BP))
-query("L11_representatives")(lambda d: (lambda m: K.representatives(d.features, m, K.cluster_table(d.features, d.edges, m)))(K.components(d.features, d.edges, PAIR_BP)))
+query("L10_components", sql_of("SELECT * FROM members", "members"))(lambda d: d.members)
+query("L11_representatives", sql_of("SELECT * FROM chosen", "chosen", doubles=("local_connectivity",)))(lambda d: d.chosen)
 query("L12_drop_constant", sql_of("SELECT feature_id, sample_idx AS sample_id, value FROM matrix WHERE feature_id IN (SELECT feature_id FROM matrix GROUP BY 1 HAVING stddev_samp(value) > 0)", "matrix", doubles=("value",)))(lambda d: N.varying_features(d.sample_rows))
 
 # --- composites --------------------------------------------------------------------------------------------------------
 
-query("X01_prepare_expression", sql_of(
-    f"SELECT s.*, chrom, tss_start, tss_end FROM (SELECT gene_id, sample_id, {inverse_normal_sql('(r - 0.375e0) / (n + 0.25e0)')} AS score FROM (SELECT *, {rank_sql('round(cpm, 6)', 'gene_id')} AS r, count(*) OVER (PARTITION BY gene_id) AS n FROM cpms)) s JOIN ({TSS_SQL}) USING (gene_id)", "cpms", "genes", doubles=("score",)))(
-    lambda d: E.locate(E.rank_normal(d.cpms.withColumn("cpm", F.round("cpm", 6)), "gene_id", "cpm").select("gene_id", "sample_id", "score"), I.gene_tss(d.genes))
-)
 query("X03_normalize_proteomics", sql_of(
     """SELECT SampleID, PlateID, Assay, PCNormalizedNPX FROM qced JOIN (SELECT SampleID, min(PlateID) AS PlateID FROM qced GROUP BY 1) USING (SampleID, PlateID)
     WHERE SampleID NOT IN (SELECT SampleID FROM qced JOIN (SELECT SampleID, min(PlateID) AS PlateID FROM qced GROUP BY 1) USING (SampleID, PlateID) WHERE NPX IS NULL) AND UniProt NOT IN ('P32455', 'Q02750')""", "qced", doubles=("PCNormalizedNPX",)))(
@@ -511,12 +579,12 @@ query("X06_merge_cohort", sql_of(
     """SELECT s.*, coalesce(r.n_samples_coverage_methylation_correlation, 0) AS n_samples_coverage_methylation_correlation, r.coverage_methylation_spearman_rho, coalesce(i.n, 0) AS n_samples_imputed_in_qtl_bed
     FROM sites s LEFT JOIN spearman r USING (site_key) LEFT JOIN (SELECT site_key, count(*) FILTER (WHERE imputed) AS n FROM filled GROUP BY 1) i USING (site_key)""",
     "sites", "spearman", "filled", doubles=(*SITE_DOUBLES, "coverage_methylation_spearman_rho"), digits=FINE), digits=FINE)(
-    lambda d: H.merge_cohort(d.longs, d.samples, N_SAMPLES, FRACTION, MAD)
+    lambda d: H.merge_cohort(d.longs, N_SAMPLES, FRACTION, MAD)
 )
 query("X06_cohort_scores", sql_of(f"SELECT chrom, begin_pos, end_pos, site_key, sample_id, value, imputed, {inverse_normal_sql('(r - 0.5e0) / n')} AS score FROM (SELECT *, {rank_sql('round(value, 9)', 'site_key')} AS r, count(*) OVER (PARTITION BY site_key) AS n FROM filled)", "filled", doubles=("value", "score")))(
-    lambda d: H.site_scores(d.filled.withColumn("exact", F.col("value")).withColumn("value", F.round("value", 9))).withColumn("value", F.col("exact")).select(*H.SITE, "sample_id", "value", "imputed", "score")
+    lambda d: d.filled.select(*H.SITE, "sample_id", "value", "imputed", "score")
 )
-query("X09_cluster_correlated_sites")(lambda d: K.cluster_table(d.features, d.edges, K.components(d.features, d.edges, PAIR_BP)))
+query("X09_cluster_correlated_sites", sql_of("SELECT * FROM rclusters", "rclusters", doubles=CLUSTER_DOUBLES))(lambda d: K.correlated_clusters(_vectors(d), PAIR_BP, PAIR_R, _design(d))[1])
 query("X12_correlation_covariates", sql_of("SELECT c.sample_id, lib_size, gpc1, gpc2 FROM covariates c JOIN libs USING (sample_id)", "covariates", "libs", doubles=("lib_size", "gpc1", "gpc2")))(
     lambda d: V.correlation_covariates(E.library_sizes(d.expressed).withColumnRenamed("sample_id", "ID"), d.covariates)
 )
@@ -548,15 +616,16 @@ def _annotation_sql() -> str:
     columns += ["coalesce(regexp_matches(ccre_type, '(^|,)(pELS|dELS)(,|$)'), false) AS is_enhancer_like", "coalesce(regexp_matches(ccre_type, '(^|,)CTCF-only(,|$)'), false) AS is_ctcf_only"]
     columns += ["CASE WHEN h_promoter.n > 0 THEN 'promoter' WHEN h_gene_body.n > 0 THEN 'gene_body' ELSE 'intergenic' END AS genomic_context"]
     columns += ["CASE WHEN h_promoter.n > 0 THEN 'promoter' WHEN h_exon.n > 0 THEN 'exon' WHEN h_intron.n > 0 THEN 'intron' WHEN h_gene_body.n > 0 THEN 'gene_body_unclassified' ELSE 'intergenic' END AS gene_feature_context"]
-    nearest = "(SELECT site_key, min(abs(tss - x.start_pos)) AS nearest_tss_distance, arg_min(gene_id, (abs(tss - x.start_pos), tss, gene_id)) AS nearest_tss_gene_id FROM spots x JOIN tss USING (chrom) GROUP BY 1) t"
+    nearest = "(SELECT site_key, min(abs(tss - x.start_pos)) AS nearest_tss_distance, " + ", ".join(f"arg_min({c}, (abs(tss - x.start_pos), tss, gene_id)) AS nearest_tss_{c}" for c in ("gene_id", "gene_name", "strand")) + " FROM spots x JOIN tss USING (chrom) GROUP BY 1) t"
+    # before a site the interval that ends last counts, after it the first one; then the greater name
+    joins.append("(SELECT site_key, name AS nearest_cpg_island_name FROM (SELECT x.site_key, i.*, i.start_pos > x.start_pos AS after, greatest(i.start_pos - x.end_pos, x.start_pos - i.end_pos, 0) AS far FROM spots x JOIN islands i USING (chrom)) QUALIFY row_number() OVER (PARTITION BY site_key ORDER BY far, after, CASE WHEN after THEN start_pos ELSE -end_pos END, -end_pos, name DESC) = 1) nearest_island")
     every = [nearest, *joins, f"({NEAR_ISLAND}) near"]
-    return f"SELECT site_key, s.chrom, s.start_pos, s.end_pos, nearest_tss_distance, nearest_tss_gene_id, {', '.join(columns)} FROM spots s " + " ".join(f"LEFT JOIN {x} USING (site_key)" for x in every)
+    return f"SELECT site_key, s.chrom, s.start_pos, s.end_pos, nearest_tss_distance, nearest_tss_gene_id, nearest_tss_gene_name, nearest_tss_strand, nearest_cpg_island_name, {', '.join(columns)} FROM spots s " + " ".join(f"LEFT JOIN {x} USING (site_key)" for x in every)
 
 
-#: Columns of the annotation whose ties the SQL does not settle.
-UNSETTLED = ["nearest_tss_gene_name", "nearest_tss_strand", "nearest_cpg_island_name"]
-query("X08_annotate_sites", sql_of(_annotation_sql(), "spots", "tss", "promoters", "gene_parts", "islands", "ccres"))(
-    lambda d: I.annotate(d.spots, d.genes, d.islands, d.ccres, d.gene_parts).drop(*UNSETTLED)
+ANNOTATION_SQL = _annotation_sql()
+query("X08_annotate_sites", sql_of(ANNOTATION_SQL, "spots", "tss", "promoters", "gene_parts", "islands", "ccres"))(
+    lambda d: I.annotate(d.spots, d.genes, d.islands, d.ccres, d.gene_parts)
 )
 query("X14_genotype_dosage_matrix", sql_of("SELECT variant_id, " + ", ".join(f"CAST(max(CASE WHEN sample_id = 'S{i:02d}' THEN dosage END) AS INT) AS S{i:02d}" for i in range(20)) + " FROM dosed GROUP BY 1", "dosed"))(
     lambda d: G.dosage_matrix(d.autosomal, [f"S{i:02d}" for i in range(20)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -17,3 +17,10 @@ def scratch(spark: SparkSession, tag: str) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="traitloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, tag: str) -> DataFrame:
+    """df written to the shared folder and read back: computed once, with no lineage that a lost executor could break."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
