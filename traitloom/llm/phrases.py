@@ -22,8 +22,8 @@ BUCKET_BITS, PART_BITS = 26, 15
 CHUNK = 4 << 20
 _LOWER = {b: b + 32 for b in range(65, 91)}
 _CUT = dict.fromkeys(b".,;:!?\x0b\x0c\r", 10)
-#: Windows that a task holds before it adds up equal ones.
-HELD = 1 << 20
+#: Windows that a task holds before it adds up equal ones, and the parts into which it packs them for the shuffle.
+HELD, PARTS = 1 << 20, 256
 #: bytes.translate table: A-Z to a-z, the ends of pieces to a line feed, a tab to a space.
 PIECES = bytes((_LOWER | _CUT | {9: 32}).get(b, b) for b in range(256))
 _ODD, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -159,30 +159,54 @@ def _distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], n
     return [c[first] for c in columns], n
 
 
+def _packed(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
 def windows(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS) -> DataFrame:
     """(lang, w0 to w4, c): every word of docs (text, lang) begins one window, which is padded with '' where its piece ends or
-    where with the next word it can't be frequent; c counts equal windows of a task. Of a word that can't be frequent
+    where with the next word it can't be frequent; c counts equal windows, packed where they lie and added up where they meet. Of a word that can't be frequent
     only the count is kept, in a window of pads."""
     spark = docs.sparkSession
     short = frequent_buckets(docs, min_count, bits)
     sent = spark.sparkContext.broadcast((short, frequent_buckets(docs, min_count, bits, short)))
 
     def look(batches):
+        for table in summed(some_windows(batches)):
+            rows = zip(*(table.column(c).to_pylist() for c in ["lang", *WORDS]), strict=True)
+            part = np.array([xxhash.xxh3_64_intdigest(" ".join(r)) % PARTS for r in rows], np.int32)
+            order = np.argsort(part, kind="stable")
+            table, part = table.take(pa.array(order)), part[order]
+            some, first = np.unique(part, return_index=True)
+            packed = [_packed(table.slice(f, e - f)) for f, e in zip(first, np.append(first[1:], len(part)), strict=True)]
+            yield pa.record_batch([pa.array(some), pa.array(packed, pa.binary())], ["part", "windows"])
+
+    def meet(batches):
+        for table in summed(t for batch in batches for x in batch.column(1).to_pylist() for t in pa.ipc.open_stream(x)):
+            yield from table.to_batches()
+
+    def summed(batches) -> Iterator[pa.Table]:
+        """Windows with those that are equal added up, as far as HELD goes."""
         held: list[pa.RecordBatch] = []
-        for batch in some_windows(batches):
+        n = 0
+        for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= HELD:
-                held = added(held)
-                if sum(b.num_rows for b in held) > HELD // 2:
-                    yield from held
-                    held = []
-        yield from added(held)
-
-    def added(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
-        if not held:
-            return held
+            n += batch.num_rows
+            if n >= HELD:
+                table = added(held)
+                held, n = table.to_batches(), table.num_rows
+                if n > HELD // 2:
+                    yield table
+                    held, n = [], 0
+        if held:
+            yield added(held)
+
+    def added(held: list[pa.RecordBatch]) -> pa.Table:
         sums = pa.Table.from_batches(held).group_by(["lang", *WORDS], use_threads=False).aggregate([("c", "sum")])
-        return sums.rename_columns([{"c_sum": "c"}.get(n, n) for n in sums.column_names]).select(["lang", *WORDS, "c"]).to_batches()
+        return sums.rename_columns([{"c_sum": "c"}.get(n, n) for n in sums.column_names]).select(["lang", *WORDS, "c"])
 
     def some_windows(batches):
         short, long = (np.frombuffer(x, np.uint8) for x in sent.value)
@@ -206,7 +230,8 @@ def windows(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS
                 text = [pa.compute.if_else(pa.array(c >= 0), t, pa.scalar(b"", pa.binary())) for c, t in zip(own[1:], text, strict=True)]
                 yield pa.record_batch([pa.array(chunk.langs, pa.string()).take(pa.array(own[0])), *[t.cast(pa.string()) for t in text], pa.array(times, pa.int64())], ["lang", *WORDS, "c"])
 
-    return docs.mapInArrow(look, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", c long")
+    packed = docs.mapInArrow(look, "part int, windows binary").repartition("part")
+    return packed.mapInArrow(meet, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", c long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, bits: int = BUCKET_BITS) -> DataFrame:
