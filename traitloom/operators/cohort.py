@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import average_rank, finite, inverse_normal
-from .expect import require_range
+from .expect import require_range, require_some
 
 SITE = ["chrom", "begin_pos", "end_pos", "site_key"]
 REASONS = ["Insufficient minimum coverage", "Extreme coverage exclusion", "Low methylation MAD", "Pass all cohort filters"]
@@ -103,6 +103,17 @@ def flag_sites(metrics: DataFrame, n_samples: int, required: int, min_mad: float
     return rows.withColumns({"keep_site": F.col("pass_sample_presence_filter") & F.col("pass_methylation_mad_filter"), "failure_reason": reason})
 
 
+def passing_sites(sites: DataFrame) -> DataFrame:
+    return sites.where("keep_site")
+
+
+def select_samples(long: DataFrame, samples: DataFrame, key: str = "sample_id") -> DataFrame:
+    """Rows of the listed samples; a list of which none is there is an error."""
+    out = long.join(samples.select(F.col("sample_id").alias(key)).distinct(), key, "left_semi")
+    require_some(out, "listed samples")
+    return out
+
+
 def site_qc(sites: DataFrame) -> DataFrame:
     short = {"n_samples_passing_per_sample_qc": "n_samples_passing", "fraction_samples_passing_per_sample_qc": "fraction_samples_passing"}
     short |= {f"{x}_cov_passing_per_sample_qc": f"{x}_cov_passing" for x in ("median", "min", "max")}

@@ -42,6 +42,10 @@ def strip_suffix(ident: Column) -> Column:
     return F.regexp_replace(ident, "_.*", "")
 
 
+def without_proteins(npx: DataFrame, excluded: tuple[str, ...] = LEFT_OUT) -> DataFrame:
+    return npx.where(~F.col("UniProt").isin(*excluded))
+
+
 def first_plates(npx: DataFrame) -> DataFrame:
     """(SampleID, PlateID): the least plate of each sample."""
     order = Window.partitionBy("SampleID").orderBy("PlateID")
@@ -55,7 +59,7 @@ def normalize(npx: DataFrame, plate: str, excluded: tuple[str, ...] = LEFT_OUT)
     rows = rows.withColumn("SampleID", strip_suffix(F.col("SampleID")))
     rows = rows.join(first_plates(rows), ["SampleID", "PlateID"], "left_semi")
     lacking = rows.where(F.col("NPX").isNull()).select("SampleID").distinct()
-    return rows.join(lacking, "SampleID", "left_anti").where(~F.col("UniProt").isin(*excluded))
+    return without_proteins(rows.join(lacking, "SampleID", "left_anti"), excluded)
 
 
 def choose_id_column(long: DataFrame, samples: DataFrame, candidates=("SampleID", "ResearchID")) -> str:

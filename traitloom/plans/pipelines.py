@@ -50,7 +50,7 @@ def phenotype_branches(long: DataFrame, value: str, log2: bool = False, threshol
 def prepare_expression(counts: DataFrame, samples: DataFrame, tss: DataFrame, threshold: float = -3.0, digits: int | None = None) -> DataFrame:
     """Counts of the listed samples to located branches: genes expressed enough, trimmed-mean factors, counts per million, branches, and
     the genes that have a start site, in order of place. digits rounds the counts per million."""
-    kept = keep(E.expressed_genes(select_samples(counts, samples)), "expressed")
+    kept = keep(E.expressed_genes(H.select_samples(counts, samples)), "expressed")
     Q.require_some(kept, "expressed genes")
     rows = E.cpm(kept, keep(E.tmm_factors(kept), "factors"))
     rows = rows.withColumn("cpm", F.round("cpm", digits)) if digits is not None else rows
@@ -58,13 +58,6 @@ def prepare_expression(counts: DataFrame, samples: DataFrame, tss: DataFrame, th
     return E.locate(branches.withColumnRenamed("feature_id", "gene_id"), tss).orderBy("branch", "chrom", "tss_start", "gene_id", "sample_id")
 
 
-def select_samples(long: DataFrame, samples: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Rows of the listed samples; a list of which none is there is an error."""
-    out = long.join(samples.select(F.col("sample_id").alias(key)).distinct(), key, "left_semi")
-    Q.require_some(out, "listed samples")
-    return out
-
-
 def prepare_splicing(long: DataFrame, threshold: float = -3.0) -> DataFrame:
     """Junction ratios (chrom, start_pos, end_pos, phenotype_id, sample_id, value) to branches with the Ensembl id, in order of place."""
     places = long.select("chrom", "start_pos", "end_pos", F.col("phenotype_id").alias("feature_id")).distinct()
@@ -77,7 +70,7 @@ def prepare_proteomics(normalised: DataFrame, mapping: DataFrame, tss: DataFrame
     """Normalised proteins of the listed samples to located branches, a row a branch, feature and sample. The id column that the list
     speaks of is chosen."""
     ident = P.choose_id_column(normalised, samples)
-    rows = P.protein_features(select_samples(normalised, samples, ident).withColumn("SampleID", F.col(ident)), mapping, tss)
+    rows = P.protein_features(H.select_samples(normalised, samples, ident).withColumn("SampleID", F.col(ident)), mapping, tss)
     places = rows.select("feature_id", "chrom", "tss_start", "tss_end").distinct()
     return phenotype_branches(rows.withColumnRenamed("SampleID", "sample_id"), "value", False, threshold).join(places, "feature_id")
 
@@ -161,7 +154,7 @@ def run_cohort(
     sites = stage("sites", lambda: H.merge_cohort(flagged, n, fraction, min_mad))
     scores = stage("scores", lambda: H.cohort_long(H.cohort_arrays(flagged, sites, samples, digits), samples).select(*H.SITE, "sample_id", F.col("score").alias("value")))
     out = {"calls": flagged, "sites": sites, "failures": stage("failures", lambda: H.failure_summary(sites)), "patterns": stage("patterns", lambda: H.failure_patterns(sites))}
-    passing = sites.where("keep_site").select("site_key", "chrom", (F.col("begin_pos") + 1).alias("start_pos"), "end_pos", "n_samples_imputed_in_qtl_bed")
+    passing = H.passing_sites(sites).select("site_key", "chrom", (F.col("begin_pos") + 1).alias("start_pos"), "end_pos", "n_samples_imputed_in_qtl_bed")
     out["annotations"] = stage("annotations", lambda: I.annotate(passing, genes, islands, ccres, features, window)) if annotated else passing
     first = stage("correlation_covariates", lambda: V.correlation_covariates(_pc_frame(scores, samples), covariates))
     table = first.toPandas().set_index("sample_id")  # a row a sample
@@ -242,7 +235,7 @@ query("P15_choose_id_column", sql_of("SELECT 'ResearchID' AS chosen", "npx"))(
     lambda d: d.spark.createDataFrame([(P.choose_id_column(d.npx.select(F.lit("none").alias("SampleID"), P.strip_suffix(F.col("SampleID")).alias("ResearchID")), d.npx.select(P.strip_suffix(F.col("SampleID")).alias("sample_id")).distinct()),)], "chosen string")
 )
 query("P23_feature_subset", sql_of("SELECT gene_id, kind FROM (SELECT *, CASE p % 3 WHEN 0 THEN 'exon' WHEN 1 THEN 'CDS' ELSE 'five_prime_utr' END AS kind FROM (SELECT *, end_pos - start_pos AS p FROM genes)) WHERE kind IN ('five_prime_utr', '5UTR', 'CDS')", "genes"))(
-    lambda d: d.genes.withColumn("p", (F.col("end_pos") - F.col("start_pos")) % 3).withColumn("kind", F.when(F.col("p") == 0, "exon").when(F.col("p") == 1, "CDS").otherwise("five_prime_utr")).where(F.col("kind").isin("five_prime_utr", "5UTR", "CDS")).select("gene_id", "kind")
+    lambda d: d.genes.withColumn("p", (F.col("end_pos") - F.col("start_pos")) % 3).withColumn("kind", F.when(F.col("p") == 0, "exon").when(F.col("p") == 1, "CDS").otherwise("five_prime_utr")).transform(lambda x: I.of_types(x.withColumn("type", F.col("kind")), ["five_prime_utr", "5UTR", "CDS"])).select("gene_id", "kind")
 )
 query("Q16_reference_plate", sql_of(f"SELECT PlateID, count(*) AS n FROM npx WHERE PlateID = '{PLATE}' GROUP BY 1", "npx"))(lambda d: d.npx.where(F.col("PlateID") == PLATE).groupBy("PlateID").agg(F.count(F.lit(1)).alias("n")))
 query("J09_covariates_all_required", SQL["X12_correlation_covariates"])(lambda d: V.correlation_covariates(E.library_sizes(d.expressed).withColumnRenamed("sample_id", "ID"), d.covariates))
@@ -260,7 +253,7 @@ query("O05_top_per_group", sql_of("SELECT sample_id, site_key, cov FROM flagged
     lambda d: d.flagged.groupBy("sample_id").agg(F.min_by(F.struct("site_key", "cov"), F.struct(-F.col("cov"), "site_key")).alias("t")).select("sample_id", "t.site_key", "t.cov")
 )
 query("O07_first_or_only_plate", SQL["W07_first_plate"])(lambda d: P.first_plates(d.qced))
-query("O15_sample_subset", sql_of("SELECT site_key, sample_id, value FROM longs WHERE sample_id IN ('S02', 'S04')", "longs", doubles=("value",)))(lambda d: d.longs.where(F.col("sample_id").isin("S02", "S04")).select("site_key", "sample_id", "value"))
+query("O15_sample_subset", sql_of("SELECT site_key, sample_id, value FROM longs WHERE sample_id IN ('S02', 'S04')", "longs", doubles=("value",)))(lambda d: H.select_samples(d.longs, d.samples.where(F.col("sample_id").isin("S02", "S04"))).select("site_key", "sample_id", "value"))
 query("O17_cluster_ids", sql_of("SELECT chrom, cluster_id, cluster_start, representative_cpg FROM clusters", "clusters"))(lambda d: d.clusters.select("chrom", "cluster_id", "cluster_start", "representative_cpg"))
 query("M03_ceil_min_max", sql_of("SELECT site_key, CAST(ceil(n_samples_min_coverage * 0.95e0) AS BIGINT) AS c, greatest(n_samples_min_coverage, 5) AS g, least(n_samples_min_coverage, 5) AS l FROM metrics", "metrics"))(
     lambda d: d.metrics.select("site_key", F.ceil(F.col("n_samples_min_coverage") * 0.95).alias("c"), F.greatest("n_samples_min_coverage", F.lit(5).cast("long")).alias("g"), F.least("n_samples_min_coverage", F.lit(5).cast("long")).alias("l"))

@@ -284,15 +284,15 @@ query("P07_site_key", sql_of("SELECT DISTINCT site_key, chrom FROM flagged", "fl
 query("P08_value_scale", sql_of("SELECT sample_id, site_key, value FROM longs", "longs", doubles=("value",)))(lambda d: d.longs.select("sample_id", "site_key", "value"))
 query("P09_low_count_gene_filter", sql_of("SELECT * FROM expressed", "expressed"))(lambda d: d.expressed)
 query("P10_sample_select", sql_of("SELECT * FROM counts WHERE sample_id IN (SELECT sample_id FROM covariates WHERE gpc1 > 4500)", "counts", "covariates"))(
-    lambda d: d.counts.join(d.covariates.where("gpc1 > 4500").select("sample_id"), "sample_id", "left_semi")
+    lambda d: H.select_samples(d.counts, d.covariates.where("gpc1 > 4500"))
 )
 query("P11_assay_control_filter", sql_of("SELECT SampleID, PlateID, Assay, NPX FROM assays", "assays", doubles=("NPX",)))(lambda d: P.assays_only(d.npx).select("SampleID", "PlateID", "Assay", "NPX"))
 query("P12_qc_status_filter", sql_of("SELECT SampleID, PlateID, Assay, SampleQC, AssayQC FROM npx WHERE SampleQC <> 'PASS' OR AssayQC <> 'PASS'", "npx"))(lambda d: P.not_passing(d.npx).select("SampleID", "PlateID", "Assay", "SampleQC", "AssayQC"))
-query("P13_fixed_exclusion_list", sql_of("SELECT SampleID, PlateID, UniProt FROM npx WHERE UniProt NOT IN ('UP4', 'UP9')", "npx"))(lambda d: d.npx.where(~F.col("UniProt").isin("UP4", "UP9")).select("SampleID", "PlateID", "UniProt"))
+query("P13_fixed_exclusion_list", sql_of("SELECT SampleID, PlateID, UniProt FROM npx WHERE UniProt NOT IN ('UP4', 'UP9')", "npx"))(lambda d: P.without_proteins(d.npx, ("UP4", "UP9")).select("SampleID", "PlateID", "UniProt"))
 query("P14_strip_suffix", sql_of("SELECT DISTINCT regexp_replace(SampleID, '_.*', '') AS short, concat_ws('_', regexp_replace(SampleID, '_.*', ''), PlateID) AS joint_id FROM npx", "npx"))(
     lambda d: d.npx.select(P.strip_suffix(F.col("SampleID")).alias("short"), F.concat_ws("_", P.strip_suffix(F.col("SampleID")), "PlateID").alias("joint_id")).distinct()
 )
-query("P16_keep_passing_metadata", sql_of("SELECT site_key, failure_reason FROM sites WHERE keep_site", "sites"))(lambda d: d.sites.where("keep_site").select("site_key", "failure_reason"))
+query("P16_keep_passing_metadata", sql_of("SELECT site_key, failure_reason FROM sites WHERE keep_site", "sites"))(lambda d: H.passing_sites(d.sites).select("site_key", "failure_reason"))
 query("P17_finite_predicate", sql_of("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 25 THEN l_quantity / (CASE WHEN l_linenumber = 1 THEN NULL ELSE 2e0 END) END AS x FROM lineitem", doubles=("x",)))(
     lambda d: d.spark.read.parquet(f"{d.sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", finite(F.when(F.col("l_quantity") > 25, float("inf")).when(F.col("l_linenumber") == 1, float("nan")).otherwise(F.col("l_quantity").cast("double") / 2)).alias("x"))
 )
@@ -389,7 +389,7 @@ query("J22_body_without_exon", sql_of(
     lambda d: d.spots.join(_gene_ids(d.spots, d.genes, "body"), "site_key").join(_gene_ids(d.spots, d.genes.withColumn("end_pos", F.col("start_pos") + 300), "exon"), "site_key", "left")
     .select("site_key", F.array_join(F.array_except("body", F.coalesce("exon", F.array().cast("array<string>"))), ";").alias("intron_gene_id")).where("intron_gene_id <> ''")
 )
-query("J23_genotype_semi", sql_of("SELECT * FROM genotypes WHERE sample_id IN ('S01', 'S07')", "genotypes"))(lambda d: d.genotypes.join(d.genotypes.select("sample_id").where(F.col("sample_id").isin("S01", "S07")).distinct(), "sample_id", "left_semi").select(d.genotypes.columns))
+query("J23_genotype_semi", sql_of("SELECT * FROM genotypes WHERE sample_id IN ('S01', 'S07')", "genotypes"))(lambda d: H.select_samples(d.genotypes, d.genotypes.where(F.col("sample_id").isin("S01", "S07"))).select(d.genotypes.columns))
 
 
 def _gene_ids(spots: DataFrame, genes: DataFrame, name: str) -> DataFrame:
@@ -573,7 +573,11 @@ query("X03_normalize_proteomics", sql_of(
     WHERE SampleID NOT IN (SELECT SampleID FROM qced JOIN (SELECT SampleID, min(PlateID) AS PlateID FROM qced GROUP BY 1) USING (SampleID, PlateID) WHERE NPX IS NULL) AND UniProt NOT IN ('P32455', 'Q02750')""", "qced", doubles=("PCNormalizedNPX",)))(
     lambda d: P.normalize(d.npx, PLATE).select("SampleID", "PlateID", "Assay", "PCNormalizedNPX")
 )
-query("X05_filter_sample_methylation", sql_of("SELECT * FROM flagged", "flagged", doubles=FLAGGED_DOUBLES))(lambda d: C.filter_sample_methylation(d.calls, CHROMS, MIN_COV, FENCE)[0])
+QC_COLUMNS = "n_input_rows, n_rows_after_chrom_filter, n_below_min_coverage, n_passing_per_sample_qc"
+query("X05_filter_sample_methylation", sql_of(f"""SELECT f.*, {QC_COLUMNS} FROM flagged f JOIN (SELECT sample_id, count(*) AS n_rows_after_chrom_filter, count(*) FILTER (WHERE NOT meets_min_coverage) AS n_below_min_coverage,
+  count(*) FILTER (WHERE per_sample_qc_pass) AS n_passing_per_sample_qc FROM flagged GROUP BY 1) USING (sample_id) JOIN (SELECT sample_id, count(*) AS n_input_rows FROM calls GROUP BY 1) USING (sample_id)""", "flagged", doubles=FLAGGED_DOUBLES))(
+    lambda d: (lambda calls, qc: calls.join(qc.select("sample_id", *QC_COLUMNS.split(", ")), "sample_id"))(*C.filter_sample_methylation(d.calls, CHROMS, MIN_COV, FENCE))
+)
 SITE_DOUBLES = METRIC_DOUBLES
 query("X06_merge_cohort", sql_of(
     """SELECT s.*, coalesce(r.n_samples_coverage_methylation_correlation, 0) AS n_samples_coverage_methylation_correlation, r.coverage_methylation_spearman_rho, coalesce(i.n, 0) AS n_samples_imputed_in_qtl_bed
