@@ -451,3 +451,33 @@ def test_registry_without_the_corpus_operators(tmp_path):
             shutil.copy(root / name, tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 150 and set(e.oracle_sql()) <= set(q) and 'pipeline' not in q and not [n for n in q if n.startswith('op')]"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+def test_cohort_in_one_shuffle(spark):
+    """All metrics, the correlation and the imputed counts of a cohort need calls to be dealt out by site once."""
+    from traitloom.plans.queries import FRACTION, MAD, N_SAMPLES, Data
+    from traitloom.sources.shared import keep
+
+    longs = keep(Data(spark, "/root/testdata/sf0.001").longs, "longs")
+    plan = cohort.merge_cohort(longs, N_SAMPLES, FRACTION, MAD)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+
+
+def test_arrays_of_a_site(spark):
+    """Grid, means and average ranks of sites with ties, gaps, samples outside the cohort, values that aren't finite, and none at all."""
+    calls_ = [
+        ("k1", "a", 0.5, True), ("k1", "b", 0.25, True), ("k1", "d", 0.5, True), ("k1", "c", 0.9, False), ("k1", "z", 0.7, True), ("k2", "a", float("nan"), True), ("k2", "b", 0.1, True),
+        ("k3", "a", 0.2, False), ("k4", "a", 0.1, True), ("k5", "d", 0.3, True), ("k5", "c", 0.30000000001, True), ("k5", "b", 0.2, True),
+    ]
+    longs = spark.createDataFrame(calls_, "site_key string, sample_id string, value double, per_sample_qc_pass boolean")
+    sites = spark.createDataFrame([("c", i, i + 1, f"k{i}", i != 4) for i in range(1, 6)], "chrom string, begin_pos long, end_pos long, site_key string, keep_site boolean")
+    got = {r.site_key: r for r in cohort.cohort_arrays(longs, sites, list("abcd"), 9).collect()}
+    assert set(got) == {"k1", "k2", "k3", "k5"}
+    mean = (0.5 + 0.25 + 0.5) / 3
+    assert got["k1"].values == [0.5, 0.25, None, 0.5] and got["k1"].filled == pytest.approx([0.5, 0.25, mean, 0.5]) and got["k1"].ranks == [3.5, 1.0, 2.0, 3.5]
+    assert got["k2"].filled == [0.1] * 4 and got["k2"].ranks == [2.5] * 4 and got["k2"].values == [None, 0.1, None, None]
+    assert got["k3"].values == got["k3"].filled == got["k3"].ranks == [None] * 4
+    assert got["k5"].ranks == [2.0, 1.0, 3.5, 3.5]  # alike to nine digits; the mean lies between
+    long = {(r.site_key, r.sample_id): (r.imputed, r.score) for r in cohort.cohort_long(cohort.cohort_arrays(longs, sites, list("abcd"), 9), list("abcd")).collect()}
+    assert len(long) == 16 and long["k1", "c"][0] and not long["k1", "a"][0] and long["k2", "a"][1] == pytest.approx(0, abs=1e-9) and long["k3", "a"] == (True, None)
+    assert cohort.cohort_arrays(longs.limit(0), sites, list("abcd")).count() == 4

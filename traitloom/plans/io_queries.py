@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import cohort as H
 from ..operators import covariates as V
 from ..operators import expect as Q
+from ..operators import expression as E
 from ..sources import readers as R
 from ..sources import writers as W
 from ..sources.shared import scratch
@@ -16,17 +17,16 @@ from .queries import FINE, FLAGGED_DOUBLES, METRIC_DOUBLES, PIVOT, PLATE, SAMPLE
 
 def _tsv(df: DataFrame, tag: str, header: bool = True) -> str:
     path = scratch(df.sparkSession, tag)
-    df.write.options(sep="\t", header=header, nullValue="NA", compression="gzip").csv(path)
+    # a comment sign that no field begins with, so that "#chrom" is not quoted
+    df.write.options(sep="\t", header=header, nullValue="NA", compression="gzip", comment="\u0001").csv(path)
     return path
 
 
 def _lines(parts: list[DataFrame], tag: str) -> str:
-    """Text of one-column DataFrames one after another, as one file."""
+    """A folder of the text of one-column DataFrames, each in files of its own; readers tell lines apart by what they hold."""
     path = scratch(parts[0].sparkSession, tag)
-    every = parts[0].toDF("value").select(F.lit(0).alias("turn"), "value")
-    for i, p in enumerate(parts[1:], 1):
-        every = every.unionByName(p.toDF("value").select(F.lit(i).alias("turn"), "value"))
-    every.orderBy("turn", "value").coalesce(1).select("value").write.text(path)
+    for part in parts:
+        part.toDF("value").write.mode("append").text(path)
     return path
 
 
@@ -62,8 +62,8 @@ def _call_files(d: Data) -> tuple[str, str]:
     """Two sets of call files: of even samples without a header, of odd ones with one and in another order of columns."""
     even, odd = (d.calls.where(f"CAST(substr(sample_id, 2) AS INT) % 2 = {k}") for k in (0, 1))
     plain = _tsv(even.select("chrom", "begin_pos", "end_pos", "mod_score", "type", "cov", F.lit(1).alias("x")), "calls", header=False)
-    rows = odd.select(F.concat_ws("\t", "chrom", "cov", F.lit("note"), "begin_pos", "end_pos", "type", "mod_score").alias("value"))
-    return plain, _lines([_text(d, "##version"), _text(d, "#chrom\tcov\tnote\tbegin\tend\ttype\tmod_score"), rows], "named-calls")
+    named = odd.select(F.col("chrom").alias("#chrom"), "cov", F.lit("x").alias("note"), F.col("begin_pos").alias("begin"), F.col("end_pos").alias("end"), "type", "mod_score")
+    return plain, _tsv(named, "named-calls")
 
 
 def _manifest(d: Data) -> str:
@@ -161,9 +161,18 @@ query("S13_scan_protein", sql_of("SELECT SampleID, Assay, NPX FROM npx", "npx",
 query("K01_write_by_chrom", sql_of("SELECT * FROM flagged", "flagged", doubles=FLAGGED_DOUBLES))(lambda d: _by_chrom(d, "tsv"))
 query("K02_write_table", sql_of("SELECT * FROM metrics", "metrics", doubles=METRIC_DOUBLES, digits=FINE), digits=FINE)(lambda d: _table(d))
 query("K03_write_phenotype_bed", sql_of(f"SELECT chrom AS \"#chr\", begin_pos AS start, end_pos AS \"end\", site_key AS phenotype_id, {PIVOT.format(v='value')} FROM longs GROUP BY 1, 2, 3, 4", "longs", doubles=tuple(SAMPLES)))(_bed_written)
+MERGED = " UNION ALL ".join(f"SELECT '{c}' AS ID, {PIVOT.format(v=c)} FROM (SELECT DISTINCT c.*, lib_size FROM covariates c JOIN libs USING (sample_id))" for c in ("gpc1", "gpc2", "lib_size"))
+query("X12_merge_covariates", sql_of(MERGED, "covariates", "libs", doubles=tuple(SAMPLES)))(lambda d: _merged_covariates(d))
 query("K04_write_covariate_matrix", SQL["O12_transpose"])(lambda d: R.tsv(d.spark, _tsv(V.covariate_matrix(d.covariates, SAMPLES), "covariates"), "ID string, " + ", ".join(f"{s} double" for s in SAMPLES)))
 
 
+def _merged_covariates(d: Data) -> DataFrame:
+    """PCs (library sizes in their place) with the covariates of the same samples, covariate-major, written and read back."""
+    path = scratch(d.spark, "merged")
+    W.write_table(V.covariate_matrix(V.merge_covariates(d.covariates, E.library_sizes(d.expressed).withColumnRenamed("sample_id", "ID")), SAMPLES), path)
+    return R.tsv(d.spark, path, "ID string, " + ", ".join(f"{s} double" for s in SAMPLES))
+
+
 def _table(d: Data) -> DataFrame:
     path = scratch(d.spark, "table")
     W.write_table(d.metrics, path)

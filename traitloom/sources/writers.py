@@ -22,7 +22,7 @@ def write_by_chrom(calls: DataFrame, path: str, form: str = "parquet", prefix: s
     """One folder a chromosome, as Parquet or gzipped TSV; an autosome without calls has an empty table. Rows are dealt out by stretches
     of a chromosome first, so a folder holds as many files as it has stretches and no task a chromosome."""
     rows = calls if form == "parquet" else as_text(calls)
-    write = lambda df: df.write.mode("errorifexists").options(**({} if form == "parquet" else {"sep": "\t", "header": True, "nullValue": "NA", "compression": "gzip"}))
+    write = lambda df: df.write.mode("errorifexists").options(**({} if form == "parquet" else {"sep": "\t", "header": True, "nullValue": "NA", "compression": "gzip", "comment": "\u0001"}))
     save = lambda writer, where: writer.parquet(where) if form == "parquet" else writer.csv(where)
     save(write(rows.repartition("chrom", F.floor(F.col("begin_pos") / SLICE))).partitionBy("chrom"), path)
     spark = calls.sparkSession
@@ -36,7 +36,7 @@ def write_by_chrom(calls: DataFrame, path: str, form: str = "parquet", prefix: s
 
 def write_table(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """TSV with NA for null; an empty table still has its header."""
-    as_text(df).write.mode("errorifexists").options(sep="\t", header=True, nullValue="NA", compression=compression).csv(path)
+    as_text(df).write.mode("errorifexists").options(sep="\t", header=True, nullValue="NA", compression=compression, comment="\u0001").csv(path)
 
 
 def write_phenotype_bed(long: DataFrame, samples: list[str], path: str, feature: str = "phenotype_id", value: str = "value") -> None:
