@@ -72,10 +72,10 @@ def test_odd_rows(spark, odd, odd_rows, empty):
 
 
 def test_a_block_of_very_many_words():
-    """Three million distinct words: codes of shingles wrap around and every window is still found, and no other."""
-    words = [f"{i:x}" for i in range(3_000_000)]
+    """With billions of words as digits the codes of shingles wrap around, and every window is still found, and no other."""
+    words = [f"{i:x}" for i in range(3_000)]
     index = decontaminate.Windows([("a", " ".join(words).encode())])
-    index.windows, index.owners = index.windows[-2_000:], index.owners[-2_000:]  # the ids of which pass 64 bits as digits
+    index.base = 1 << 31
     index.codes = np.unique(np.array([c for w in index.windows for c in index._shingles(w)], dtype=np.int64))
     index.rarity({})
     ids, starts = index.read([" ".join([*words[-15:], "zz", *words[:9]]).encode(), None])
