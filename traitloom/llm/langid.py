@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ BLOCK, TURNS = 512, 6
 #: Blocks that are remembered so.
 REMEMBERED = 4_096
 SPACE, UNSEEN = 0, 1
+#: Bytes of text that are parsed side by side, about.
+HELD = 2 << 20
 UNDETERMINED = "und"
 
 
@@ -258,8 +261,11 @@ def identify(docs: DataFrame, sample: tuple[tuple[str, str], ...]) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = models(sample)
         for whole in batches:
-            for first in range(0, whole.num_rows, 2_000):
-                batch = whole.slice(first, 2_000)
+            read = pa.compute.fill_null(pa.compute.binary_length(whole.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            group = np.cumsum(read) // HELD  # a long text is a group of its own, nearly
+            first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else []
+            for begin, end in zip(first, [*first[1:], whole.num_rows], strict=True):
+                batch = whole.slice(begin, end - begin)
                 langs, scores = model.predict(batch.column(at).to_pylist())
                 yield pa.record_batch([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
