@@ -30,7 +30,7 @@ FILE_ROWS = 8_192
 #: Files at most; beyond it they grow.
 MOST_FILES = 10_000
 #: Entries of a worker's cache from words to ids; once full it is kept as the older of two, which only costs time.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 #: Texts that a task holds split into words at once.
 STEP = 128
 
