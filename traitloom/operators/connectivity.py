@@ -118,7 +118,7 @@ def outliers(scores: DataFrame, threshold: float = -3.0) -> DataFrame:
 def score_samples(long: DataFrame, threshold: float = -3.0) -> DataFrame:
     """sample_id, connectivity, zscore, pass_connectivity_filter and method. Below two varying features or three samples nothing is
     computed, and everyone passes. To remove every sample is an error (and can't happen with a negative threshold)."""
-    used = varying_features(long)
+    used = keep(varying_features(long), "varying")  # read by each of the steps below
     told = used.agg(F.count_distinct("feature_id").alias("features"), F.count_distinct("sample_id").alias("samples")).first()
     if told["features"] < 2 or told["samples"] < 3:
         none = F.lit(None).cast("double")

@@ -55,7 +55,8 @@ def prepare_expression(counts: DataFrame, samples: DataFrame, tss: DataFrame, th
     rows = E.cpm(kept, keep(E.tmm_factors(kept), "factors"))
     rows = rows.withColumn("cpm", F.round("cpm", digits)) if digits is not None else rows
     branches = phenotype_branches(rows.withColumnRenamed("gene_id", "feature_id"), "cpm", True, threshold)
-    return E.locate(branches.withColumnRenamed("feature_id", "gene_id"), tss).orderBy("branch", "chrom", "tss_start", "gene_id", "sample_id")
+    located = keep(E.locate(branches.withColumnRenamed("feature_id", "gene_id"), tss), "located")  # a sort reads its rows twice
+    return located.orderBy("branch", "chrom", "tss_start", "gene_id", "sample_id")
 
 
 def prepare_splicing(long: DataFrame, threshold: float = -3.0) -> DataFrame:
