@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import average_rank, centred, normal_scores
+from ..functions.stats import centred, normal_scores
+from ..sources.shared import keep
+from .ranks import central
 
 
 def expressed_genes(counts: DataFrame, above: float = 6, fraction: float = 0.2) -> DataFrame:
@@ -20,14 +22,14 @@ def library_sizes(counts: DataFrame) -> DataFrame:
 
 def tmm_factors(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) -> DataFrame:
     """(sample_id, factor): trimmed mean of M values against the sample whose upper quartile is nearest the mean upper quartile,
-    scaled to geometric mean 1. Samples are few; every step over genes is an aggregate or a window by sample."""
+    scaled to geometric mean 1. Samples are few; every step over genes is an aggregate, and ranks are selected over all tasks, so none holds a sample."""
     sizes = library_sizes(counts)
     rows = counts.join(F.broadcast(sizes), "sample_id")
     upper = rows.groupBy("sample_id").agg(F.expr("percentile(cnt / lib_size, 0.75)").alias("uq"))
     every = Window.partitionBy(F.lit(0))
     reference = upper.withColumn("off", F.abs(F.col("uq") - F.avg("uq").over(every))).agg(F.min_by("sample_id", F.struct("off", "sample_id")).alias("ref"))
     ref = rows.join(F.broadcast(reference), F.col("sample_id") == F.col("ref")).select("gene_id", F.col("cnt").alias("r"), F.col("lib_size").alias("nr"))
-    pairs = rows.join(ref, "gene_id").where("cnt > 0 and r > 0")
+    pairs = rows.join(ref, "gene_id").where("cnt > 0 and r > 0").select("sample_id", "cnt", "r", "lib_size", "nr")
     share, ref_share = F.col("cnt") / F.col("lib_size"), F.col("r") / F.col("nr")
     pairs = pairs.withColumns(
         {
@@ -35,10 +37,10 @@ def tmm_factors(counts: DataFrame, trim_m: float = 0.3, trim_a: float = 0.05) ->
             "v": (F.col("lib_size") - F.col("cnt")) / F.col("lib_size") / F.col("cnt") + (F.col("nr") - F.col("r")) / F.col("nr") / F.col("r"),
         }
     )
-    n = F.count(F.lit(1)).over(Window.partitionBy("sample_id"))
-    ranked = pairs.withColumns({"rm": average_rank("m", "sample_id"), "ra": average_rank("a", "sample_id"), "n": n})
-    low_m, low_a = F.floor(F.col("n") * trim_m) + 1, F.floor(F.col("n") * trim_a) + 1
-    inside = F.col("rm").between(low_m, F.col("n") + 1 - low_m) & F.col("ra").between(low_a, F.col("n") + 1 - low_a)
+    pairs = keep(pairs.select("sample_id", "m", "a", "v"), "pairs")
+    ends = central(pairs, "sample_id", "m", trim_m).toDF("sample_id", "low_m", "high_m").join(central(pairs, "sample_id", "a", trim_a).toDF("sample_id", "low_a", "high_a"), "sample_id")
+    ranked = pairs.join(F.broadcast(ends), "sample_id")
+    inside = F.col("m").between(F.col("low_m"), F.col("high_m")) & F.col("a").between(F.col("low_a"), F.col("high_a"))
     mean = F.try_divide(F.sum(F.when(inside, F.col("m") / F.col("v"))), F.sum(F.when(inside, 1 / F.col("v"))))
     raw = ranked.groupBy("sample_id").agg(F.when(F.max(F.abs("m")) < 1e-6, 1.0).otherwise(F.coalesce(F.pow(F.lit(2.0), mean), F.lit(1.0))).alias("f"))
     raw = sizes.join(raw, "sample_id", "left").select("sample_id", F.coalesce("f", F.lit(1.0)).alias("f"))
