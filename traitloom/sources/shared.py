@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that dealt() gives a task, about.
+DEALT = 100_000
+
 
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new path under spark.checkpoint.dir; on one machine, a temporary folder where the session names none."""
@@ -24,3 +27,9 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, *keys: str, rows: int = DEALT) -> DataFrame:
+    """df, which is counted and so should have been written, dealt out by keys into as many tasks as it has `rows`. Windows over the
+    keys then sort no more in a task however large df is, and the number of tasks is not coalesced."""
+    return df.repartition(max(1, -(-df.count() // rows)), *keys)
