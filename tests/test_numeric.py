@@ -1,12 +1,16 @@
 """What SQL can't say is held against NumPy, and edges of the definitions against small cases."""
 
+import math
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from traitloom.functions import stats
-from traitloom.operators import calls, clusters, cohort, connectivity, covariates, expect, expression, genotype, intervals, linalg, proteomics
+from traitloom.operators import calls, clusters, cohort, connectivity, covariates, expect, expression, genotype, intervals, linalg, proteomics, ranks
+from traitloom.sources import shared
 
 
 def test_quantiles_interpolate(spark):
@@ -481,3 +485,36 @@ def test_arrays_of_a_site(spark):
     long = {(r.site_key, r.sample_id): (r.imputed, r.score) for r in cohort.cohort_long(cohort.cohort_arrays(longs, sites, list("abcd"), 9), list("abcd")).collect()}
     assert len(long) == 16 and long["k1", "c"][0] and not long["k1", "a"][0] and long["k2", "a"][1] == pytest.approx(0, abs=1e-9) and long["k3", "a"] == (True, None)
     assert cohort.cohort_arrays(longs.limit(0), sites, list("abcd")).count() == 4
+
+
+def test_ends_of_trimmed_ranks(spark):
+    """The values whose average rank lies inside are those between the ends, with ties, few values, and groups over several rounds."""
+    rng = np.random.default_rng(4)
+    groups = {"ties": rng.integers(0, 9, 400) / 1.0, "apart": rng.normal(size=300), "alike": np.ones(50), "two": np.array([1.0, 2.0]), "three": np.array([1.0, 1.0, 2.0])}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    for trim in (0.3,):
+        for few in (20, 50_000):
+            ends = {r.g: (r.low, r.high) for r in ranks.central(frame, "g", "v", trim, few=few, ranges=8).collect()}
+            for k, v in groups.items():
+                rank = pd.Series(v).rank().to_numpy()
+                cut = math.floor(len(v) * trim) + 1
+                assert (((v >= ends[k][0]) & (v <= ends[k][1])) == ((rank >= cut) & (rank <= len(v) + 1 - cut))).all(), (k, trim, few)
+
+
+def test_windows_are_dealt_by_rows(spark):
+    """Tasks of windows by feature grow in number, not in size; no plan coalesces them."""
+    rows = shared.keep(spark.range(12_000).select((F.col("id") / 4).cast("long").alias("feature_id"), F.col("id").alias("v")), "rows")
+    assert shared.dealt(rows, "feature_id", rows=1_000).rdd.getNumPartitions() == 12
+    held = shared.dealt(rows, "feature_id", rows=1_000).groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n"), F.count_distinct("feature_id").alias("f")).collect()
+    assert max(r.n for r in held) < 2_000 and sum(r.f for r in held) == 3_000
+
+
+def test_long_vectors_are_standardised_in_one_pass(spark):
+    """The mean is worked out once a vector: vectors of 20,000 values take no time that grows with their square."""
+    frame = spark.range(8).select(F.transform(F.sequence(F.lit(0), F.lit(19_999)), lambda i: (i * 7919 % 10_007 + F.col("id")).cast("double")).alias("vec"))
+    began = time.monotonic()
+    for row in clusters.standardise(shared.keep(frame, "long-vectors")).collect():
+        x = np.array(row.vec)
+        assert row.valid and abs(x.sum()) < 1e-9 and abs(x @ x - 1) < 1e-9
+    assert time.monotonic() - began < 30

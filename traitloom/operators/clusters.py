@@ -28,7 +28,8 @@ def _sum(values: Column) -> Column:
 
 def standardise(features: DataFrame) -> DataFrame:
     """vec centred and of unit length; valid is false (and vec null) without variance."""
-    centre = F.transform("vec", lambda x: x - _sum(F.col("vec")) / F.size("vec"))
+    mean = F.array(_sum(F.col("vec")) / F.size("vec"))  # bound by a lambda, so that it is worked out once a vector and not once an element
+    centre = F.get(F.transform(mean, lambda m: F.transform("vec", lambda x: x - m)), F.lit(0))
     rows = features.withColumn("__c", centre).withColumn("__n", F.sqrt(_sum(F.transform("__c", lambda x: x * x))))
     ok = F.col("__n") > 1e-12
     return rows.withColumns({"valid": ok, "vec": F.when(ok, F.transform("__c", lambda x: x / F.col("__n")))}).drop("__c", "__n")
