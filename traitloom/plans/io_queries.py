@@ -11,7 +11,7 @@ from ..operators import expect as Q
 from ..operators import expression as E
 from ..sources import readers as R
 from ..sources import writers as W
-from ..sources.shared import scratch
+from ..sources.shared import keep, scratch
 from .queries import FINE, FLAGGED_DOUBLES, METRIC_DOUBLES, PIVOT, PLATE, SAMPLES, SQL, Data, query, sql_of
 
 
@@ -125,12 +125,13 @@ def _round_trip_qc(d: Data) -> DataFrame:
 
 def _long_calls(d: Data) -> DataFrame:
     """Filtered calls of two shards, written and read again."""
-    rows = d.flagged.withColumnsRenamed({"chrom": "#chrom", "begin_pos": "begin", "end_pos": "end"})
+    flagged = keep(d.flagged, "flagged")  # two shards are made of it
+    rows = flagged.withColumnsRenamed({"chrom": "#chrom", "begin_pos": "begin", "end_pos": "end"})
     rows = rows.select("sample_id", *[c for c in rows.columns if c != "sample_id"])
     paths = [scratch(d.spark, "long-calls") for _ in range(2)]
     for path, part in zip(paths, ("sample_id < 'S05'", "sample_id >= 'S05'"), strict=True):
         W.write_table(rows.where(part), path)
-    return R.scan_long_calls(d.spark, paths, {n: t for n, t in d.flagged.dtypes if n not in R.LONG_CALLS}).select(d.flagged.columns)
+    return R.scan_long_calls(d.spark, paths, {n: t for n, t in flagged.dtypes if n not in R.LONG_CALLS}).select(flagged.columns)
 
 
 def _bed_written(d: Data) -> DataFrame:

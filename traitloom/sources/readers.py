@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import expect
+from .shared import keep
 
 CALLS = "chrom string, begin_pos long, end_pos long, mod_score double, type string, cov double"
 CCRES = "chrom string, ccre_begin long, ccre_end long, ccre_v4_id string, ccre_v5_id string, ccre_type string"
@@ -112,7 +113,8 @@ def scan_long_calls(spark: SparkSession, paths, more: dict[str, str] | None = No
     lines = file_lines(spark, paths)
     heads = lines.where(F.col("value").startswith("sample_id\t")).select("value").distinct()
     expect.require(heads.agg(F.count(F.lit(1)).alias("headers")).where("headers > 1"), "tables of calls differ in their columns")
-    rows = by_own_header(lines, wanted, "sample_id\t", {"#chrom": "chrom", "begin": "begin_pos", "end": "end_pos"}, None, "filtered call").drop("file")
+    parsed = by_own_header(lines, wanted, "sample_id\t", {"#chrom": "chrom", "begin": "begin_pos", "end": "end_pos"}, None, "filtered call").drop("file")
+    rows = keep(parsed, "filtered-calls")  # texts are parsed once, for the check and for what reads the rows
     expect.require(expect.repeated_keys(rows, "sample_id", "site_key"), "a call comes twice")
     return rows
 
