@@ -60,3 +60,18 @@ def test_pieces_equal_whole_texts():
     tok = Tokenizer.from_file(tokenfiles.tokenizer_path())
     got = tokenfiles.Encoder(tokenfiles.tokenizer_path())(texts)
     assert [np.frombuffer(g, np.uint16).tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_go_to_the_model_at_once(monkeypatch):
+    """Pieces of Latin letters and marks never pass the whole tokenizer, which took most of the time; ids are its ids all the same, also
+    of other pieces, and across both tables of the cache."""
+    monkeypatch.setattr(tokenfiles, "CACHE_WORDS", 6)
+    encoder = tokenfiles.Encoder(tokenfiles.tokenizer_path())
+    plain = ["Thionandes of\u00e9t\u00e9 resh,### rami\u00f1&&& a. \u017e\u0142\u0151.", "THE the\nthe,. " + "qz" * 60]
+    other = ["\u01c5 \u0130x \u03a3\u03a3 e\u0301t\u00e9 \u00aa\u00ba it's' don't### 1a.# \u4e2d\u6587. \u00c9T\u00c9 #,. <|endoftext|>. a_b a\t b.\u2028c", None, ""]
+    want = [np.array(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in plain + other]
+    seen, ids = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: (seen.append(text), ids(text))[1])
+    assert encoder(plain) == want[:2] and encoder(plain) == want[:2]
+    assert encoder.by_model and not any(c.isalpha() for text in seen for c in text)
+    assert encoder(other + plain + other) == want[2:] + want[:2] + want[2:]

@@ -12,7 +12,8 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,80 +42,85 @@ PROBES = ("", " ", "\n\n", "One two", " The  QUICK\nbrown Fox. ", "it's Hello, W
 _LOWER_LINES = bytes(32 if b == 10 else common.LOWER_ASCII[b] for b in range(256))
 
 
+#: Words that a tokenizer's model alone has to encode as the tokenizer does, if lower-case Latin words are to go to it at once.
+WORDS = ("a", "the", "quick", "thionandes", "etaoinshrdlucmfwypvbgkqjxz", "zyxwvutsrqponmlkjihgfedcba", "qz" * 100, "\u00e9\u00e0\u00fc\u00df\u00f1\u00e7", "ci\u00f3nll\u00f3", "\u017e\u0142\u0151\u0131\u011f\u00f8\u00fe\u0101\u024f")
+#: Marks that are looked up alone where they end a piece, if TAILED show that the tokenizer splits them from letters; else the first two.
+TAILS, TAILED = ".,#&$*%", ("the###", "quick,&&&", "a.$%*", "\u00e9t\u00e9%%%", "one.#,*")
+#: The character that stands for each byte in byte-level vocabularies: printable ones for themselves, others by turn from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+def model_form(word: str) -> str | None:
+    """A word of lower-case Latin letters as a byte-level model takes it; None for any other piece. Such words are their own normal form."""
+    if not word.isalpha() or word != word.lower():
+        return None
+    if word.isascii():
+        return word
+    return word.encode().decode("latin-1").translate(BYTE_CHARS) if max(word) < "\u0250" else None
+
+
+class Pieces(dict):
+    """Ids of pieces as bytes; one that is not there is taken from the older table or encoded."""
+
+    def __init__(self, encode: Callable[[str], bytes], tails: str, old: dict[str, bytes]):
+        super().__init__()
+        self.encode, self.tails, self.old = encode, tails, old
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            word = piece.rstrip(self.tails)
+            # letters and the marks after them are split from each other by any tokenizer of words, so both are looked up alone
+            found = self[word] + self[piece[len(word) :]] if len(word) < len(piece) and word.isalpha() else self.encode(piece)
+        self[piece] = found
+        return found
+
+
 class Encoder:
     """encode() of a tokenizers file, one white-space-free piece at a time where the file allows for it.
 
     It does if it lower-cases and drops white space by itself, as PROBES tell: then normalising, splitting and merging never cross white
-    space, so the ids of a text are those of its pieces in turn; pieces recur, so most come from the cache. Texts of any
-    other tokenizer are encoded whole.
+    space, so the ids of a text are those of its pieces in turn; pieces recur, so most come from the cache. Lower-case Latin words
+    have nothing to be normalised or split, so the model gets them at once (where WORDS tell that this is so, and no added token begins
+    with a letter). Texts of any other tokenizer are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        self.tokenizer, self.cache, self.old = Tokenizer.from_file(path), {}, {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        # Where the vocabulary marks the ends of words, the ids of a run of words fall apart at the marks.
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        if suffix:
-            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.by_piece = all(self._ids(x) == [i for p in x.lower().split() for i in self._ids(p)] for x in PROBES)
+        added = any(t.content.strip()[:1].isalpha() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.by_model = not added and all([t.id for t in self.tokenize(model_form(w))] == self._ids(w) for w in WORDS)
+        split = lambda x: self._ids(x.rstrip(TAILS)) + self._ids(x[len(x.rstrip(TAILS)) :])
+        tails = TAILS if not added and all(self._ids(x) == split(x) for x in TAILED) else TAILS[:2]
+        self.cache = Pieces(self._piece, tails, {})
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _words(self, words: list[str]) -> None:
-        """Words of letters alone, many at a time; those whose marks do not tell them apart one by one."""
-        rest = []
-        for at in range(0, len(words), 1_000):
-            some = words[at : at + 1_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(some):
-                rest += some
-                continue
-            data, cuts = ids.astype(self.width).tobytes(), (cuts * np.dtype(self.width).itemsize).tolist()
-            self.cache.update({w: data[b:e] for w, b, e in zip(some, [0, *cuts], cuts, strict=False)})
-        self._pieces(rest)
-
-    def _pieces(self, pieces: list[str]) -> None:
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, self.width).tobytes()
-
-    def _new(self, pieces: list[str]) -> None:
-        """Letters and the stops after them are split from each other by any tokenizer of words, so both are looked up alone."""
-        words, stopped, other = {p for p in pieces if p.isalpha()}, [], []
-        for p in pieces:
-            if p not in words:
-                word = p.rstrip(".,")
-                if word.isalpha():
-                    stopped.append((p, word, p[len(word) :]))
-                else:
-                    other.append(p)
-        wanted = words.union(w for _, w, _ in stopped if w not in self.cache)
-        known = [w for w in wanted if w in self.old] if self.old else []
-        self.cache.update({w: self.old[w] for w in known})
-        self._words(list(wanted.difference(known)))
-        self._pieces([*{t for _, _, t in stopped if t not in self.cache}, *other])
-        self.cache.update({p: self.cache[w] + self.cache[t] for p, w, t in stopped})
+    def _piece(self, piece: str) -> bytes:
+        word = model_form(piece) if self.by_model else None
+        ids = self._ids(piece) if word is None else [t.id for t in self.tokenize(word)]
+        return array("H" if self.width is np.uint16 else "I", ids).tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         if not self.by_piece:
             return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         # other white space than blanks and ends of lines stays inside pieces
-        split = [(t or "").encode("utf-8", "surrogatepass").translate(_LOWER_LINES).decode("utf-8", "surrogatepass").split(" ") for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache, self.old = {}, self.cache
-        cache, old = self.cache, self.old
-        missing = [p for p in set().union(*split) if p not in cache]
-        known = [p for p in missing if p in old] if old else []
-        cache.update({p: old[p] for p in known})
-        self._new(list(set(missing).difference(known)) if known else missing)
-        get = cache.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+        split = ((t or "").encode("utf-8", "surrogatepass").translate(_LOWER_LINES).decode("utf-8", "surrogatepass").split(" ") for t in texts)
+        out = []
+        for pieces in split:
+            if len(self.cache) > CACHE_WORDS:
+                self.cache.old = {}
+                self.cache = Pieces(self._piece, self.cache.tails, self.cache)
+            out.append(b"".join(map(self.cache.__getitem__, pieces)))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
